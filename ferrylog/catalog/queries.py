@@ -360,7 +360,7 @@ def _timed_acks(t: Tables) -> DataFrame:
         F.lit("").alias("stream"),
         F.array().cast("array<string>").alias("ids"),
         F.lit(False).alias("ack"),
-        F.lit("9000-01-01 00:00:00").cast("timestamp").alias("arrived_at"),
+        F.lit("2200-01-01 00:00:00").cast("timestamp").alias("arrived_at"),
     )
     return acks.unionByName(close)
 
@@ -511,7 +511,7 @@ def unacked_after(t: Tables) -> DataFrame:
 @query
 def unacked_after_stream(t: Tables) -> DataFrame:
     """Both streams end with a row far ahead that moves the clock."""
-    far = F.lit("9000-01-01 00:00:00").cast("timestamp")
+    far = F.lit("2200-01-01 00:00:00").cast("timestamp")
     end = t.spark.range(1).select(F.lit("").alias("stream"), F.lit("").alias("id"))
     sent = _timed_deliveries(t).unionByName(end.withColumn("delivered_at", far))
     said = _timed_outcomes(t).unionByName(

@@ -7,10 +7,11 @@ derived tables need no shuffle except the grouping of acknowledgements.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrylog.functions.ids import id_ms, id_seq
+from ferrylog.functions.ids import id_pair
+from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import zstd_pack
 
 DAY_MS = 86_400_000
@@ -21,7 +22,6 @@ NOW_MS = START_MS + 30 * DAY_MS
 CLAIM_IDLE_MS = 10 * DAY_MS
 CONSUMER_IDLE_TIMEOUT_MS = 10 * DAY_MS
 SELF = "consumer-2"
-OFFERED_BATCH = 700
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,120 +30,69 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unix_date(cast(ts AS date)) * 86400000L + hour(ts) * 3600000L"
         " + minute(ts) * 60000L + cast(floor(extract(SECOND FROM ts) * 1000) AS bigint)"
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "user_id", "event_type", "props", ms.alias("ms")
-    )
-
-
-def _id() -> Column:
-    # the event's own number as sequence part: unique without a window over ms
-    return _text(F.col("ms"), "-", F.col("event_id"))
-
-
-def _stream() -> Column:
-    return F.concat(F.lit("syslog:"), F.col("event_type"))
-
-
-def _text(*parts: Column | str) -> Column:
-    """Concatenate literal text and columns."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _object() -> Column:
-    kind = F.col("event_id") % 25
-    sev = F.col("user_id") % 10
-    facility = F.col("user_id") % 24
-    user = F.col("user_id")
-    return (
-        F.when(kind == 0, "")
-        .when(kind == 1, _text('{"hostname":"h', user, '"}'))
-        .when(kind == 2, "not json")
-        .when(kind == 3, _text('{"severity":"', sev, '"}'))
-        .when(kind == 4, _text('{"hostname":"h', user, '","severity":', sev, ',"raw":"inner"}'))
-        .when(
-            kind == 5,
-            _text('{"severity":', sev, ',"structured_data":{"L1":{"L2":{"deep":"', user, '"}}}}'),
-        )
-        .when(kind == 6, _text('{"severity":', sev, ',"structured_data":"-"}'))
-        .otherwise(
-            _text(
-                '{"hostname":"h',
-                user,
-                '","severity":',
-                sev,
-                ',"facility":',
-                facility,
-                ',"structured_data":{"meta@1":',
-                F.col("props"),
-                "}}",
-            )
-        )
-    )
-
-
-def _raw() -> Column:
-    kind = F.col("event_id") % 25
-    priority = (F.col("user_id") % 24) * 8 + (F.col("user_id") % 10) % 8
-    return F.when(kind.isin(0, 7), "").otherwise(
-        _text("<", priority, ">1 ", F.col("event_type"), " ", F.col("event_id"))
-    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if len(events.inputFiles()) < cores:
+        # a table of few files would keep all later work in as few tasks
+        events = events.repartition(cores, "event_id")
+    return events.select("event_id", "user_id", "event_type", "props", ms.alias("ms"))
+
+
+# the event's own number as sequence part: unique without a window over ms
+_ID = "concat(ms, '-', event_id)"
+_STREAM = "concat('syslog:', event_type)"
+_OBJECT = """
+CASE event_id % 25
+  WHEN 0 THEN ''
+  WHEN 1 THEN concat('{"hostname":"h', user_id, '"}')
+  WHEN 2 THEN 'not json'
+  WHEN 3 THEN concat('{"severity":"', user_id % 10, '"}')
+  WHEN 4 THEN concat('{"hostname":"h', user_id, '","severity":', user_id % 10, ',"raw":"inner"}')
+  WHEN 5 THEN concat('{"severity":', user_id % 10,
+                     ',"structured_data":{"L1":{"L2":{"deep":"', user_id, '"}}}}')
+  WHEN 6 THEN concat('{"severity":', user_id % 10, ',"structured_data":"-"}')
+  ELSE concat('{"hostname":"h', user_id, '","severity":', user_id % 10,
+              ',"facility":', user_id % 24, ',"structured_data":{"meta@1":', props, '}}')
+END"""
+_RAW = """
+CASE WHEN event_id % 25 IN (0, 7) THEN ''
+  ELSE concat('<', user_id % 24 * 8 + user_id % 10 % 8, '>1 ', event_type, ' ', event_id)
+END"""
 
 
 def entries(events: DataFrame) -> DataFrame:
-    return events.select(
-        _id().alias("id"),
-        _stream().alias("stream"),
-        _object().alias("object"),
-        _raw().alias("raw"),
+    return events.selectExpr(
+        f"{_ID} AS id", f"{_STREAM} AS stream", f"{_OBJECT} AS object", f"{_RAW} AS raw"
     )
 
 
 def wire_entries(events: DataFrame) -> DataFrame:
     """Field maps as the store hands them out; empty fields are absent."""
-    fields = F.map_filter(
-        F.create_map(
-            F.lit("object"), _object(), F.lit("raw"), _raw(), F.lit("source"), F.lit("10.0.0.1")
-        ),
-        lambda _, v: v != "",
+    fields = f"map('object', {_OBJECT}, 'raw', {_RAW}, 'source', '10.0.0.1')"
+    return events.selectExpr(
+        f"{_ID} AS id", f"{_STREAM} AS stream", f"map_filter({fields}, (k, v) -> v <> '') AS fields"
     )
-    return events.select(_id().alias("id"), _stream().alias("stream"), fields.alias("fields"))
-
-
-def _delivered(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("event_id") % 3 != 0)
-
-
-def _delivered_at() -> Column:
-    return F.col("ms") + 1000
 
 
 def deliveries(events: DataFrame) -> DataFrame:
-    consumer = F.concat(
-        F.lit("consumer-"),
-        F.floor((F.col("ms") - F.lit(START_MS)) / F.lit(5 * DAY_MS)).cast("string"),
-    )
-    return _delivered(events).select(
-        _stream().alias("stream"),
-        _id().alias("id"),
-        consumer.alias("consumer"),
-        _delivered_at().alias("delivered_at_ms"),
+    """Two thirds of the events, to one consumer per five days."""
+    return events.filter("event_id % 3 <> 0").selectExpr(
+        f"{_STREAM} AS stream",
+        f"{_ID} AS id",
+        f"concat('consumer-', (ms - {START_MS}) div {5 * DAY_MS}) AS consumer",
+        "ms + 1000 AS delivered_at_ms",
     )
 
 
 def outcomes(events: DataFrame) -> DataFrame:
     """One ack outcome per delivered event that got one."""
-    turn = F.col("event_id") % 4
-    return (
-        _delivered(events)
-        .filter(turn != 0)
-        .select(
-            "event_id",
-            _stream().alias("stream"),
-            _id().alias("id"),
-            (turn != 3).alias("ack"),
-            _delivered_at().alias("delivered_at_ms"),
-            (_delivered_at() + (F.col("event_id") % 7) * F.lit(3 * DAY_MS)).alias("acked_at_ms"),
-        )
+    return events.filter("event_id % 3 <> 0 AND event_id % 4 <> 0").selectExpr(
+        "event_id",
+        f"{_STREAM} AS stream",
+        f"{_ID} AS id",
+        "event_id % 4 <> 3 AS ack",
+        "ms + 1000 AS delivered_at_ms",
+        f"ms + 1000 + event_id % 7 * {3 * DAY_MS} AS acked_at_ms",
     )
 
 
@@ -152,16 +101,12 @@ def acks(events: DataFrame) -> DataFrame:
 
     ``arrival`` is unique within a stream, like a broker offset.
     """
-    centi = F.floor(F.col("event_id") / 100)
-    pairs = F.sort_array(
-        F.collect_list(F.struct(id_ms("id").alias("m"), id_seq("id").alias("s"), F.col("id")))
-    )
     return (
         outcomes(events)
-        .withColumn("arrival", centi * 2 + F.when(F.col("ack"), 0).otherwise(1))
+        .withColumn("arrival", F.expr("event_id div 100 * 2 + if(ack, 0, 1)"))
         .groupBy("stream", "arrival", "ack")
-        .agg(F.transform(pairs, lambda p: p["id"]).alias("ids"))
-        .select("arrival", "stream", "ids", "ack")
+        .agg(F.sort_array(F.collect_list(F.struct(id_pair("id"), "id"))).alias("pairs"))
+        .select("arrival", "stream", F.col("pairs.id").alias("ids"), "ack")
     )
 
 
@@ -188,7 +133,7 @@ def bad_payloads(spark: SparkSession) -> DataFrame:
 def ack_payloads(events: DataFrame) -> DataFrame:
     """Ack messages on the wire, every other pair of arrivals compressed."""
     text = F.to_json(F.struct("ids", "stream", "ack")).cast("binary")
-    packed = F.floor(F.col("arrival") / 2) % 2 == 1
+    packed = floor_div(F.col("arrival"), 2) % 2 == 1
     good = acks(events).select(
         "arrival",
         F.when(packed, zstd_pack(F.when(packed, text))).otherwise(text).alias("payload"),
@@ -203,21 +148,20 @@ def consumers(events: DataFrame) -> DataFrame:
         .groupBy("stream", "consumer")
         .agg(F.max("delivered_at_ms").alias("last_seen_ms"))
     )
-    idle = events.select(_stream().alias("stream")).distinct().select(
+    idle = streams(events).select(
         "stream", F.lit("consumer-idle").alias("consumer"), F.lit(START_MS).alias("last_seen_ms")
     )
     return seen.unionByName(idle)
 
 
+def streams(events: DataFrame) -> DataFrame:
+    return events.selectExpr(f"{_STREAM} AS stream").distinct()
+
+
 def cursors(events: DataFrame) -> DataFrame:
     """Half of the month is already delivered, except on two streams."""
     return (
-        events.filter(~F.col("event_type").isin("error", "view"))
-        .select(_stream().alias("stream"))
-        .distinct()
-        .select(
-            "stream",
-            F.lit(START_MS + 15 * DAY_MS).alias("id_ms"),
-            F.lit(0).cast("bigint").alias("id_seq"),
-        )
+        streams(events)
+        .filter("stream NOT IN ('syslog:error', 'syslog:view')")
+        .selectExpr("stream", f"{START_MS + 15 * DAY_MS} AS id_ms", "0L AS id_seq")
     )

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ferrylog.schema import MAX_DECOMPRESS_BYTES, ZSTD_MAGIC_HEX, require_positive
 
+# Both UDFs count as non-deterministic for the planner: otherwise a filter on
+# their result is moved below them and every frame is coded twice.
+
 # Input is fed in small slices so that a frame that expands without bound is
 # noticed soon after it passes the cap.
 _SLICE = 4096
@@ -63,7 +66,7 @@ def zstd_pack(col: Column) -> Column:
                 pa.binary(),
             )
 
-    return pack(col.cast("binary"))
+    return pack.asNondeterministic()(col.cast("binary"))
 
 
 def zstd_unpack(col: Column, max_bytes: int = MAX_DECOMPRESS_BYTES) -> Column:
@@ -78,4 +81,4 @@ def zstd_unpack(col: Column, max_bytes: int = MAX_DECOMPRESS_BYTES) -> Column:
                 pa.binary(),
             )
 
-    return unpacked(col)
+    return unpacked.asNondeterministic()(col)

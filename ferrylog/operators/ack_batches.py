@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferrylog.functions.numbers import floor_div
 from ferrylog.schema import ACK_BATCH_SIZE, require_positive
 
 _RUN_MESSAGES = 4096
@@ -87,7 +88,7 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
     require_positive(max_ids=max_ids)
     run_length = max(_RUN_MESSAGES, 16 * max_ids)
     messages = valid.select("stream", "arrival", "ids", "ack").withColumn(
-        "run", F.floor(F.col("arrival") / F.lit(run_length))
+        "run", floor_div(F.col("arrival"), run_length)
     )
 
     def to_map(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -106,7 +107,7 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
         messages.select("stream", "run", "arrival", F.size("ids").cast("bigint").alias("n"))
         .groupBy("stream", "run")
         .applyInArrow(to_map, f"stream string, run bigint, {_MAP}")
-        .withColumn("grp", F.floor(F.col("run") / F.lit(_GROUP_RUNS)))
+        .withColumn("grp", floor_div(F.col("run"), _GROUP_RUNS))
     )
 
     def compose(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:

@@ -6,19 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.functions.body import split_line
-from ferrylog.functions.ids import id_ms, id_seq
+from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import zstd_pack, zstd_unpack
 from ferrylog.operators.positions import with_position
 from ferrylog.schema import BATCH_SIZE, MAX_DECOMPRESS_BYTES, require_positive
 
 
 def number_batches(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Add ``batch``: consecutive runs of ``batch_size`` entries of a stream."""
+    """Add ``batch``: consecutive runs of ``batch_size`` entries of a stream.
+
+    Rows that already carry their ``position``, as a read batch does, are not
+    numbered again.
+    """
     require_positive(batch_size=batch_size)
-    numbered = with_position(lines, out="_position")
-    return numbered.withColumn(
-        "batch", F.floor((F.col("_position") - 1) / F.lit(batch_size))
-    ).drop("_position")
+    numbered = lines if "position" in lines.columns else with_position(lines)
+    return numbered.withColumn("batch", floor_div(F.col("position") - 1, batch_size))
 
 
 def batch_texts(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -29,16 +31,12 @@ def batch_texts(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     Every collected list is bounded by ``batch_size``.
     """
     ordered = F.sort_array(
-        F.collect_list(
-            F.when(
-                F.col("line").isNotNull(),
-                F.struct(id_ms("id").alias("m"), id_seq("id").alias("s"), "line"),
-            )
-        )
+        F.collect_list(F.when(F.col("line").isNotNull(), F.struct("position", "line")))
     )
     joined = F.array_join(F.transform(ordered, lambda r: r["line"]), "\n")
+    columns = [c for c in ("id", "stream", "line", "position") if c in lines.columns]
     return (
-        number_batches(lines.select("id", "stream", "line"), batch_size)
+        number_batches(lines.select(*columns), batch_size)
         .groupBy("stream", "batch")
         .agg(
             F.count("line").alias("n_lines"),

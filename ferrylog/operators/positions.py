@@ -1,17 +1,16 @@
 """Exact positions in stream order without one task per stream.
 
 ``row_number`` partitioned by stream would sort a hot stream in a single task.
-Here the order key (two numbers) is cut into cells of consecutive keys; cells
-are counted, running sums over the counts give each cell's first position, and
-only the rows of one cell are numbered together:
-
-* ``cell``  = key down to one millisecond and 2^16 sequence numbers. Ids are
-  unique in their stream, so a cell holds at most 2^16 rows, even when a third
-  of all rows share one millisecond.
-* ``span``  = 2^20 ms (17 minutes). Running sums go over the cells of a span
-  and over the spans of a stream, so neither sum sees all cells of a stream.
-
-Rows are shuffled once, on the cell; the count side carries keys only.
+Here time is cut into spans of 2^16 ms. A first small job counts the rows of
+each (stream, span) and writes, per span, how many rows come before it; the
+count shrinks to almost nothing before its shuffle. Rows then meet that table
+and are numbered span by span: one shuffle of the rows, on (stream, span). The
+table's size is known once it is written, so Spark broadcasts it when it is
+small and joins by shuffle, on the same keys as the numbering, when it is not.
+
+Should a span hold more than 2^22 rows, rows are numbered in cells instead: one
+millisecond and 2^16 sequence numbers. Ids are unique in their stream, so a
+cell is bounded even when a third of all rows share one millisecond.
 """
 
 from __future__ import annotations
@@ -21,9 +20,11 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions.ids import id_ms, id_seq
 from ferrylog.schema import require_positive
+from ferrylog.session import written
 
-_SPAN_BITS = 20
+_SPAN_BITS = 16
 _PART_BITS = 16
+_SPAN_ROWS = 1 << 22
 _SPAN = ["stream", "_span"]
 _CELL = ["stream", "_span", "_major", "_part"]
 
@@ -32,15 +33,15 @@ def with_position(
     df: DataFrame,
     major: Column | None = None,
     minor: Column | None = None,
-    out: str = "position",
+    span_rows: int = _SPAN_ROWS,
 ) -> DataFrame:
-    """Add the 1-based place of each row in its stream's order.
+    """Add ``position``, the 1-based place of each row in its stream's order.
 
     The order is (``major``, ``minor``), by default the id's pair of numbers;
-    a key that is not a number sorts first.
+    a key that is not a number sorts first. Runs the counting job at once.
     """
     keyed = _with_cell(df, major, minor)
-    return _number(keyed, _cell_starts(keyed), out)
+    return _number(keyed, written(_span_table(keyed), "spans"), span_rows)
 
 
 def first_per_stream(
@@ -48,20 +49,17 @@ def first_per_stream(
     limit: int,
     major: Column | None = None,
     minor: Column | None = None,
+    span_rows: int = _SPAN_ROWS,
 ) -> DataFrame:
-    """The ``limit`` lowest rows of each stream, exactly.
+    """The ``limit`` lowest rows of each stream, exactly, with ``position``.
 
-    A first pass counts rows per span, which shrinks to almost nothing before
-    its shuffle, and leaves only the spans that can hold one of the rows.
+    Only spans that can hold one of them are written, so all other rows are
+    dropped where they are read. Runs the counting job at once.
     """
     require_positive(limit=limit)
     keyed = _with_cell(df, major, minor)
-    spans = _before(
-        keyed.groupBy(*_SPAN).agg(F.count(F.lit(1)).alias("_n")), ["stream"], ["_span"]
-    )
-    kept = keyed.join(spans.filter(F.col("_before") < limit).select(*_SPAN), _SPAN, "left_semi")
-    starts = _cell_starts(kept).filter(F.col("_start") < limit)
-    return _number(kept, starts, "_position").filter(F.col("_position") <= limit).drop("_position")
+    spans = written(_span_table(keyed).filter(F.col("_before") < limit), "spans")
+    return _number(keyed, spans, span_rows, limit).filter(F.col("position") <= limit)
 
 
 def _with_cell(df: DataFrame, major: Column | None, minor: Column | None) -> DataFrame:
@@ -69,12 +67,7 @@ def _with_cell(df: DataFrame, major: Column | None, minor: Column | None) -> Dat
     minor = id_seq("id") if minor is None else minor
     return df.withColumns(
         {"_major": F.coalesce(major, F.lit(-1)), "_minor": F.coalesce(minor, F.lit(-1))}
-    ).withColumns(
-        {
-            "_span": F.shiftright("_major", _SPAN_BITS),
-            "_part": F.shiftright("_minor", _PART_BITS),
-        }
-    )
+    ).withColumn("_span", F.shiftright("_major", _SPAN_BITS))
 
 
 def _before(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame:
@@ -83,23 +76,41 @@ def _before(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame
     return counts.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
 
 
-def _cell_starts(keyed: DataFrame) -> DataFrame:
-    cells = keyed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n"))
-    spans = keyed.groupBy(*_SPAN).agg(F.count(F.lit(1)).alias("_n"))
-    span_starts = _before(spans, ["stream"], ["_span"]).select(
-        *_SPAN, F.col("_before").alias("_span_start")
-    )
-    return (
-        _before(cells, _SPAN, ["_major", "_part"])
-        .join(span_starts, _SPAN)
-        .select(*_CELL, (F.col("_span_start") + F.col("_before")).alias("_start"))
+def _span_table(keyed: DataFrame) -> DataFrame:
+    counts = keyed.groupBy(*_SPAN).agg(F.count(F.lit(1)).alias("_n"))
+    return _before(counts, ["stream"], ["_span"])
+
+
+def _number(
+    keyed: DataFrame, spans: DataFrame, span_rows: int, limit: int | None = None
+) -> DataFrame:
+    crowded = spans.agg(F.max("_n")).first()[0]
+    starts = spans.select(*_SPAN, "_before")
+    if crowded is None or crowded <= span_rows:
+        group, order = _SPAN, ["_major", "_minor"]
+        rows = keyed.join(starts, _SPAN)
+    else:
+        group, order = _CELL, ["_minor"]
+        cut = keyed.withColumn("_part", F.shiftright("_minor", _PART_BITS))
+        cells = _cell_starts(cut, starts)
+        if limit is not None:
+            cut = cut.join(starts.select(*_SPAN), _SPAN, "left_semi")
+            cells = cells.filter(F.col("_before") < limit)
+        rows = cut.join(cells, _CELL)
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("position", F.col("_before") + place).drop(
+        "_before", "_span", "_major", "_minor", "_part"
     )
 
 
-def _number(keyed: DataFrame, starts: DataFrame, out: str) -> DataFrame:
-    within = Window.partitionBy(*_CELL).orderBy("_minor")
-    return (
-        keyed.join(starts, _CELL)
-        .withColumn(out, F.col("_start") + F.row_number().over(within))
-        .drop("_span", "_major", "_part", "_minor", "_start")
+def _cell_starts(cut: DataFrame, span_starts: DataFrame) -> DataFrame:
+    """Rows before each cell: within its span, and before the span."""
+    cells = (
+        cut.select(*_CELL)
+        .join(span_starts.withColumnRenamed("_before", "_ahead"), _SPAN)
+        .groupBy(*_CELL)
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_ahead").alias("_ahead"))
+    )
+    return _before(cells, _SPAN, ["_major", "_part"]).select(
+        *_CELL, (F.col("_ahead") + F.col("_before")).alias("_before")
     )

@@ -16,6 +16,7 @@ from ferrylog.schema import (
     CONSUMER_IDLE_TIMEOUT_MS,
     require_positive,
 )
+from ferrylog.session import written
 
 _KEY = ["stream", "id"]
 _OWNED = ["stream", "consumer"]
@@ -68,9 +69,12 @@ def claim_idle(
 
     Returns the claimed entries and the pending set afterwards: claimed rows
     belong to ``consumer`` with their idle time back at zero, and idle rows
-    whose entry is gone leave the set without yielding anything.
+    whose entry is gone leave the set without yielding anything. The chosen
+    keys are written once, so both results and any retry see the same choice.
     """
-    chosen = select_idle(pending_set, now_ms, claim_idle_ms, batch_size).select(*_KEY)
+    chosen = written(
+        select_idle(pending_set, now_ms, claim_idle_ms, batch_size).select(*_KEY), "chosen"
+    )
     claimed = entries.join(chosen, _KEY, "left_semi")
     taken = claimed.select(
         *_KEY,

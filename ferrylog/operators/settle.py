@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions import ackjson
 from ferrylog.functions.ids import id_pair
+from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import is_compressed, zstd_unpack
 from ferrylog.schema import MAX_DECOMPRESS_BYTES, require_positive
 
@@ -74,7 +75,7 @@ def accumulate_acks(valid: DataFrame, part_messages: int = 1024) -> DataFrame:
     counts runs of ``part_messages`` arrival numbers (unique within a stream).
     """
     require_positive(part_messages=part_messages)
-    part = F.floor(F.col("arrival") / F.lit(part_messages))
+    part = floor_div(F.col("arrival"), part_messages)
     acked = F.sort_array(F.collect_list(F.when(F.col("ack"), F.struct("arrival", "ids"))))
     return (
         valid.groupBy("stream", part.alias("part"))

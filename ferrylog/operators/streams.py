@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrylog.functions.ids import id_ms, id_pair, id_seq
 from ferrylog.operators.positions import first_per_stream
 from ferrylog.schema import BATCH_SIZE, require_positive
+from ferrylog.session import written
 
 
 def discover_streams(entries: DataFrame) -> DataFrame:
@@ -53,12 +54,12 @@ def read_new(
 ) -> tuple[DataFrame, DataFrame]:
     """Next batch: at most ``batch_size`` lowest unread entries per stream.
 
-    Returns the rows and the cursors as they stand after them. Persist the
-    rows (or write them) before using both results: the second is computed
-    from the first.
+    Returns the rows, with their ``position`` in the batch, and the cursors as
+    they stand after them. The batch is written to the scratch folder: it is
+    small next to the store, and every later step reads it.
     """
     require_positive(batch_size=batch_size)
-    rows = first_per_stream(unread(entries, cursors), batch_size)
+    rows = written(first_per_stream(unread(entries, cursors), batch_size), "batch")
     return rows, advance_cursors(cursors, rows)
 
 

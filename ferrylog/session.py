@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -39,3 +39,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="ferrylog-")
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Store ``df`` as a table in the scratch folder and read it from there.
+
+    Cuts the lineage with data that outlives executors, keeps later readers
+    from computing it again, and lets the planner see the true size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
