@@ -14,20 +14,20 @@ def severity_name(text: Column) -> Column:
     The pattern guards the cast, which would otherwise trim blanks and accept
     fractions.
     """
-    code = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
-    return _name(code)
+    return _name(F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int")))
 
 
 def severity_name_json(value: Column) -> Column:
     """Name for a severity held as VARIANT; only a JSON integer counts."""
-    code = F.when(
-        F.schema_of_variant(value) == "BIGINT",
-        F.try_variant_get(value, "$", "bigint"),
+    return _name(
+        F.when(
+            F.schema_of_variant(value) == "BIGINT",
+            F.try_variant_get(value, "$", "int"),
+        )
     )
-    return _name(code)
 
 
 def _name(code: Column) -> Column:
+    """Look the code up once; a place outside the list gives null."""
     names = F.array(*[F.lit(n) for n in SEVERITY_NAMES])
-    known = code.between(0, len(SEVERITY_NAMES) - 1)
-    return F.when(known, F.get(names, code.cast("int"))).otherwise(SEVERITY_FALLBACK)
+    return F.coalesce(F.get(names, code), F.lit(SEVERITY_FALLBACK))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
+from threading import Event
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -35,15 +37,18 @@ def observe_acks(acks: DataFrame) -> DataFrame:
 
 
 class CounterListener(StreamingQueryListener):
-    """Running totals of all observed metrics; register with
-    ``spark.streams.addListener``."""
+    """Running totals of all observed metrics, and of failed queries.
+
+    Register it with ``spark.streams.addListener`` before the query starts; it
+    holds one number per counter, however long the query runs.
+    """
 
     def __init__(self) -> None:
         self.totals: Counter[str] = Counter()
-        self.failures: Counter[str] = Counter()
+        self.ended = Event()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.ended.clear()
 
     def onQueryProgress(self, event) -> None:
         for row in (event.progress.observedMetrics or {}).values():
@@ -55,25 +60,27 @@ class CounterListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         if event.exception:
-            self.failures["errors_query"] += 1
-
-
-def progress_counters(query: StreamingQuery) -> DataFrame:
-    """Observed metrics per micro-batch that the query still remembers:
-    (batch, metric, value)."""
-    rows = [
-        (int(p["batchId"]), name, int(value or 0))
-        for p in query.recentProgress
-        for metrics in (p["observedMetrics"] or {}).values()
-        for name, value in metrics.asDict().items()
-    ]
-    return query_session(query).createDataFrame(rows, "batch bigint, metric string, value bigint")
-
-
-def query_session(query: StreamingQuery):
-    from pyspark.sql import SparkSession
-
-    session = SparkSession.getActiveSession()
-    if session is None:
-        raise RuntimeError("no active session")
-    return session
+            self.totals["errors_query"] += 1
+        self.ended.set()
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The totals as (metric, value)."""
+        return spark.createDataFrame(sorted(self.totals.items()), "metric string, value bigint")
+
+
+def run_observed(
+    spark: SparkSession, start: Callable[[], StreamingQuery], patience_s: float = 60.0
+) -> CounterListener:
+    """Run a query that ends by itself and return its counters.
+
+    Progress events arrive after the fact; the end event is the last of them.
+    """
+    listener = CounterListener()
+    spark.streams.addListener(listener)
+    try:
+        start().awaitTermination()
+        if not listener.ended.wait(patience_s):
+            raise TimeoutError("no end event from the streaming query")
+    finally:
+        spark.streams.removeListener(listener)
+    return listener

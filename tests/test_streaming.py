@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ferrylog.operators import envelopes as en
 from ferrylog.operators.shape import build_payload
-from ferrylog.schema import ENTRIES
+from ferrylog.operators.settle import read_acks
+from ferrylog.schema import ACK_PAYLOADS, ENTRIES
 from ferrylog.session import scratch_path
 from ferrylog.sources import tables
 from ferrylog.streaming import ack_flush, feeds, observe, waiting
@@ -62,24 +63,27 @@ def test_delivered_envelopes(spark, source):
 
 def test_observed_counters(spark, source):
     path, _ = source
-    listener = observe.CounterListener()
-    spark.streams.addListener(listener)
-    try:
-        watched = observe.observe_entries(feeds.stream_entries(spark, path, 1))
-        run = feeds.append_stream(watched, scratch_path(spark, "o"), scratch_path(spark, "c"))
-        run.awaitTermination()
-        deadline = time.time() + 20
-        while listener.totals["messages_fetched"] < 50 and time.time() < deadline:
-            time.sleep(0.2)
-    finally:
-        spark.streams.removeListener(listener)
-    assert dict(listener.totals) == {
+    watched = observe.observe_entries(feeds.stream_entries(spark, path, 1))
+    done = observe.run_observed(
+        spark,
+        lambda: feeds.append_stream(watched, scratch_path(spark, "o"), scratch_path(spark, "c")),
+    )
+    assert {r.metric: r.value for r in done.table(spark).collect()} == {
         "messages_fetched": 50,
         "messages_published": 45,
         "messages_skipped": 5,
     }
-    rows = observe.progress_counters(run).groupBy("metric").agg(F.sum("value")).collect()
-    assert {r[0]: r[1] for r in rows} == dict(listener.totals)
+
+
+def test_observed_acks(spark):
+    path = scratch_path(spark, "payloads")
+    bodies = ['{"ids":["1-0","2-0"],"stream":"s","ack":true}', '{"ids":["3-0"],"stream":"s"}', "x"]
+    spark.createDataFrame([(n, b.encode()) for n, b in enumerate(bodies)], ACK_PAYLOADS).write.parquet(path)
+    acks = observe.observe_acks(read_acks(feeds.stream_table(spark, path, ACK_PAYLOADS)))
+    done = observe.run_observed(
+        spark, lambda: feeds.append_stream(acks, scratch_path(spark, "o"), scratch_path(spark, "c"))
+    )
+    assert dict(done.totals) == {"messages_acked": 2, "messages_nacked": 1, "errors_ack": 1}
 
 
 def flushes(messages, limit, wait):
