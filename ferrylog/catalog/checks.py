@@ -239,7 +239,7 @@ _SELECTS: dict[str, str] = {
       UNION ALL SELECT arrival, arrival = -8 FROM bad""",
     "compress_lines": "SELECT doc_id, md5(text) AS digest FROM documents",
     "decompress_capped": f"""
-      SELECT doc_id, CASE WHEN strlen(text) <= {q.CAP_BYTES} THEN md5(text) END AS digest
+      SELECT doc_id, CASE WHEN strlen(text) <= {q.CAP_BYTES} THEN md5(text) ELSE '' END AS digest
       FROM documents""",
     "parse_payload_line": _LINE_JSON,
     "parse_ack": "SELECT arrival, stream, ids, ack AND arrival % 3 <> 0 AS ack FROM acks",

@@ -8,7 +8,7 @@ and are numbered span by span: one shuffle of the rows, on (stream, span). The
 table's size is known once it is written, so Spark broadcasts it when it is
 small and joins by shuffle, on the same keys as the numbering, when it is not.
 
-Should a span hold more than 2^22 rows, rows are numbered in cells instead: one
+Should a span hold more than 2^20 rows, rows are numbered in cells instead: one
 millisecond and 2^16 sequence numbers. Ids are unique in their stream, so a
 cell is bounded even when a third of all rows share one millisecond.
 """
@@ -24,7 +24,7 @@ from ferrylog.session import written
 
 _SPAN_BITS = 16
 _PART_BITS = 16
-_SPAN_ROWS = 1 << 22
+_SPAN_ROWS = 1 << 20
 _SPAN = ["stream", "_span"]
 _CELL = ["stream", "_span", "_major", "_part"]
 

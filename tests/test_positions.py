@@ -36,7 +36,7 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("span_rows", [1 << 22, 10])
+@pytest.mark.parametrize("span_rows", [1 << 20, 10])
 def test_positions(spark, span_rows):
     rows = sample(1)
     df = spark.createDataFrame(rows, "stream string, id string").repartition(7)
@@ -45,7 +45,7 @@ def test_positions(spark, span_rows):
     assert {(r.stream, r.id): r.position for r in got.collect()} == expected(rows)
 
 
-@pytest.mark.parametrize("span_rows", [1 << 22, 10])
+@pytest.mark.parametrize("span_rows", [1 << 20, 10])
 @pytest.mark.parametrize("limit", [1, 150, 5000])
 def test_first_per_stream(spark, span_rows, limit):
     rows = sample(2)
@@ -68,7 +68,7 @@ def test_other_order_and_empty_input(spark):
 def test_no_task_per_stream(spark):
     """Rows are shuffled on (stream, span) or by cell, never on stream alone."""
     df = spark.createDataFrame(sample(3), "stream string, id string")
-    for span_rows in (1 << 22, 10):
+    for span_rows in (1 << 20, 10):
         plan = with_position(df, span_rows=span_rows)._jdf.queryExecution().executedPlan().toString()
         assert "row_number() windowspecdefinition(stream" in plan
         windows = [x for x in plan.splitlines() if "row_number()" in x and "Window" in x]
