@@ -17,6 +17,10 @@ from ferrylog.schema import MAX_DECOMPRESS_BYTES, ZSTD_MAGIC_HEX, require_positi
 # noticed soon after it passes the cap.
 _SLICE = 4096
 
+# Spark bounds the bytes of an input batch; decoded batches are cut at this
+# size, since frames may grow many times over.
+_BATCH_BYTES = 64 * 1024 * 1024
+
 
 def is_compressed(col: Column) -> Column:
     """True when the bytes start with the zstd magic number."""
@@ -76,9 +80,14 @@ def zstd_unpack(col: Column, max_bytes: int = MAX_DECOMPRESS_BYTES) -> Column:
     @F.arrow_udf("binary")
     def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
-            yield pa.array(
-                [unpack(v.as_py(), max_bytes) if v.is_valid else None for v in values],
-                pa.binary(),
-            )
+            done: list[bytes | None] = []
+            size = 0
+            for v in values:
+                done.append(unpack(v.as_py(), max_bytes) if v.is_valid else None)
+                size += len(done[-1] or b"")
+                if size >= _BATCH_BYTES:
+                    yield pa.array(done, pa.binary())
+                    done, size = [], 0
+            yield pa.array(done, pa.binary())
 
     return unpacked.asNondeterministic()(col)

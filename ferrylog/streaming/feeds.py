@@ -46,17 +46,22 @@ def deliver_stream(
     """Publish a stream of entries as envelopes below ``path``.
 
     Every micro-batch replaces its own ``epoch`` folder, so a replay after a
-    failure writes the same envelopes again and never loses any.
+    failure writes the same envelopes again and never loses any. Lines are
+    built in the stream's own plan and kept while they are counted and packed.
     """
+    lines = build_payload(entries, skip_empty=True).select("id", "stream", "line")
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        lines = build_payload(batch, skip_empty=True)
-        pack_envelopes(lines, batch_size).write.mode("overwrite").parquet(
-            f"{path}/epoch={epoch}"
-        )
+        kept = batch.persist()
+        try:
+            pack_envelopes(kept, batch_size).write.mode("overwrite").parquet(
+                f"{path}/epoch={epoch}"
+            )
+        finally:
+            kept.unpersist()
 
     return (
-        entries.writeStream.foreachBatch(publish)
+        lines.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
