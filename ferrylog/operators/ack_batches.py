@@ -12,7 +12,8 @@ such maps compose:
 3. with its entry state known, each run numbers its batches (parallel).
 
 No task ever sees more than one run, one group of maps, or the group totals of
-a stream.
+a stream. The maps are read twice, so they are written to the scratch folder;
+they take less than a byte per message.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.functions.numbers import floor_div
 from ferrylog.schema import ACK_BATCH_SIZE, require_positive
+from ferrylog.session import written
 
 _RUN_MESSAGES = 4096
 _GROUP_RUNS = 1024
@@ -103,11 +105,12 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
             }
         )
 
-    maps = (
+    maps = written(
         messages.select("stream", "run", "arrival", F.size("ids").cast("bigint").alias("n"))
         .groupBy("stream", "run")
         .applyInArrow(to_map, f"stream string, run bigint, {_MAP}")
-        .withColumn("grp", floor_div(F.col("run"), _GROUP_RUNS))
+        .withColumn("grp", floor_div(F.col("run"), _GROUP_RUNS)),
+        "maps",
     )
 
     def compose(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
