@@ -207,7 +207,7 @@ def severity_name(t: Tables) -> DataFrame:
     return (
         t.entries.select("id", value.alias("v"))
         .filter(F.col("v").isNotNull())
-        .select("id", severity.severity_name_json(F.col("v")).alias("severity"))
+        .select("id", severity.severity_name_json("v").alias("severity"))
     )
 
 

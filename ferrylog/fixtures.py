@@ -32,8 +32,8 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if len(events.inputFiles()) < cores:
-        # a table of few files would keep all later work in as few tasks
+    if events.rdd.getNumPartitions() < cores:
+        # a table of few splits would keep all later work in as few tasks
         events = events.repartition(cores, "event_id")
     return events.select("event_id", "user_id", "event_type", "props", ms.alias("ms"))
 

@@ -10,16 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ferrylog.functions.severity import severity_name_json
+from ferrylog.functions.severity import severity_json_sql
 from ferrylog.schema import EMPTY_RAW, MAX_FLATTEN_DEPTH
 
 _MAP = "map<string,variant>"
 _FIELDS = "array<struct<key:string,value:variant>>"
+_OPTIONS = {"allowNumericLeadingZeros": "true"}
+_SQL_OPTIONS = "map('allowNumericLeadingZeros', 'true')"
 
 
 def json_object(text: Column) -> Column:
     """Parse a JSON object; null when the text is not one."""
-    return F.from_json(text, _MAP, {"allowNumericLeadingZeros": "true"})
+    return F.from_json(text, _MAP, _OPTIONS)
 
 
 def object_fields(parsed: Column) -> Column:
@@ -36,65 +38,97 @@ def field(key: Column, value: Column) -> Column:
 
 
 def flatten_structured_data(
-    value: Column, max_depth: int = MAX_FLATTEN_DEPTH, prefix: str = ""
+    value: str, max_depth: int = MAX_FLATTEN_DEPTH, prefix: str = ""
 ) -> Column:
     """Leaf fields of a nested object, named by their innermost key.
 
-    Arrays and nulls are leaves, empty objects vanish, and what lies deeper
-    than ``max_depth`` stays one JSON value. No fields when ``value`` is not an
-    object.
+    ``value`` names a VARIANT column. Arrays and nulls are leaves, empty objects
+    vanish, and what lies deeper than ``max_depth`` stays one JSON value. No
+    fields when the value is not an object.
     """
+    return F.coalesce(F.expr(_leaves(value, max_depth, prefix)), no_fields())
 
-    def leaves(obj: Column, depth: int) -> Column:
-        entries = F.map_entries(F.try_variant_get(obj, "$", _MAP))
 
-        def one(entry: Column) -> Column:
-            leaf = F.array(
-                field(F.concat(F.lit(prefix), entry["key"]), entry["value"])
-                if prefix
-                else field(entry["key"], entry["value"])
-            )
-            if depth >= max_depth:
-                return leaf
-            # null (not an object) falls back to the entry itself
-            return F.coalesce(leaves(entry["value"], depth + 1), leaf)
+def reshape_fields(fields: str, max_depth: int = MAX_FLATTEN_DEPTH) -> Column:
+    """Name the severity, flatten structured data, pass all else through.
 
-        return F.flatten(F.transform(entries, one))
+    ``fields`` names a column of fields. A ``raw`` key of the body gives way to
+    the entry's own raw text.
+    """
+    return F.expr(_reshape(fields, _leaves("e.value", max_depth)))
 
-    return F.coalesce(leaves(value, 1), no_fields())
 
+def reshape_in_order(text: str, max_depth: int = MAX_FLATTEN_DEPTH) -> Column:
+    """``reshape_fields`` of a body's text, with leaves in the text's order.
 
-def reshape_fields(fields: Column, max_depth: int = MAX_FLATTEN_DEPTH) -> Column:
-    """Name the severity, flatten structured data, pass all else through.
-
-    A ``raw`` key of the body gives way to the entry's own raw text.
+    VARIANT sorts the keys of nested objects. Order matters only where equal
+    keys meet, so this slower way, which parses nested objects from their own
+    text, is for such bodies.
     """
+    return F.expr(_reshape(_texted(text), _leaves_in_order("e.text", max_depth)))
 
-    def one(entry: Column) -> Column:
-        key, value = entry["key"], entry["value"]
-        return (
-            F.when(key == "structured_data", flatten_structured_data(value, max_depth))
-            .when(
-                key == "severity",
-                F.array(field(key, severity_name_json(value).cast("variant"))),
-            )
-            .otherwise(F.array(field(key, value)))
-        )
 
-    flat = F.flatten(F.transform(fields, one))
-    return F.filter(flat, lambda e: e["key"] != "raw")
+# The nested lambdas are written as SQL text: building them call by call takes
+# far longer than running them on a small batch.
 
 
-def keep_last(fields: Column) -> Column:
-    """Of fields with equal keys keep the last one."""
-    distinct = F.size(F.array_distinct(F.transform(fields, lambda e: e["key"])))
-    return F.when(distinct == F.size(fields), fields).otherwise(_drop_repeated(fields))
+def _reshape(fields: str, leaves: str) -> str:
+    severity = severity_json_sql("e.value")
+    return f"""
+      filter(flatten(transform({fields}, e -> CASE e.key
+        WHEN 'structured_data' THEN coalesce({leaves}, cast(array() AS {_FIELDS}))
+        WHEN 'severity' THEN array(struct(e.key AS key, cast({severity} AS variant) AS value))
+        ELSE array(struct(e.key AS key, e.value AS value)) END)),
+      e -> e.key <> 'raw')"""
+
+
+def _leaves(value: str, max_depth: int, prefix: str = "", depth: int = 1) -> str:
+    """Null, when ``value`` is not an object, falls back to the entry itself."""
+    e = f"e{depth}"
+    key = f"concat('{_quoted(prefix)}', {e}.key)" if prefix else f"{e}.key"
+    leaf = f"array(struct({key} AS key, {e}.value AS value))"
+    if depth < max_depth:
+        leaf = f"coalesce({_leaves(f'{e}.value', max_depth, prefix, depth + 1)}, {leaf})"
+    return f"flatten(transform(map_entries({_object_of(value)}), {e} -> {leaf}))"
+
+
+def _leaves_in_order(text: str, max_depth: int, depth: int = 1) -> str:
+    """Of equal keys in one object only the last entry is looked into."""
+    e, all_ = f"e{depth}", f"all{depth}"
+    last = f"filter({all_}, (x, i) -> i = size({all_}) - array_position(reverse({all_}.key), x.key))"
+    bound = f"get(transform(array({_texted(text)}), {all_} -> {last}), 0)"
+    leaf = f"array(struct({e}.key AS key, {e}.value AS value))"
+    if depth < max_depth:
+        inner = _leaves_in_order(f"{e}.text", max_depth, depth + 1)
+        leaf = f"if({_object_of(f'{e}.value')} IS NULL, {leaf}, {inner})"
+    return f"flatten(transform({bound}, {e} -> {leaf}))"
 
 
-def _drop_repeated(fields: Column) -> Column:
-    """Sort (key, place) pairs so that the last of a key is next to another key.
+def _texted(text: str) -> str:
+    """Entries of a JSON object in order, each with its value's own text."""
+    typed, plain = (f"from_json({text}, '{t}', {_SQL_OPTIONS})" for t in (_MAP, "map<string,string>"))
+    pair = "(f, t) -> struct(f.key AS key, f.value AS value, t AS text)"
+    return f"zip_with(map_entries({typed}), map_values({plain}), {pair})"
+
+
+def _object_of(value: str) -> str:
+    return f"try_variant_get({value}, '$', '{_MAP}')"
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def repeats_keys(fields: Column) -> Column:
+    """True when two fields have equal keys."""
+    return F.size(F.array_distinct(fields["key"])) < F.size(fields)
+
+
+def keep_last(fields: Column) -> Column:
+    """Of fields with equal keys keep the last one.
 
-    ``transform`` over a one-element array binds a value that the inner lambda
+    (key, place) pairs are sorted, so that the last place of a key is next to
+    another key. ``transform`` over a one-element array binds a value that the inner lambda
     reads many times.
     """
     pairs = F.sort_array(

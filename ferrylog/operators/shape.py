@@ -66,8 +66,9 @@ def structured_data_fields(
     value = F.try_element_at(
         body.json_object(F.col("object")), F.lit("structured_data")
     )
-    leaves = body.flatten_structured_data(value, max_depth, prefix)
-    return entries.select("id", "stream", F.explode(leaves).alias("field")).select(
+    leaves = body.flatten_structured_data("_value", max_depth, prefix)
+    nested = entries.select("id", "stream", value.alias("_value"))
+    return nested.select("id", "stream", F.explode(leaves).alias("field")).select(
         "id",
         "stream",
         F.col("field.key").alias("key"),
@@ -85,13 +86,17 @@ def build_payload(
     projection of its own: the next step names its input several times.
     """
     require_positive(max_depth=max_depth)
-    named = entries.withColumn(
-        "_fields",
-        body.reshape_fields(
-            body.object_fields(body.json_object(F.col("object"))), max_depth
-        ),
+    parsed = entries.withColumn(
+        "_fields", body.object_fields(body.json_object(F.col("object")))
+    )
+    named = parsed.withColumn("_fields", body.reshape_fields("_fields", max_depth))
+    fields = F.col("_fields")
+    in_order = body.reshape_in_order("object", max_depth)
+    unique = named.withColumn(
+        "_fields", F.when(body.repeats_keys(fields), in_order).otherwise(fields)
+    ).withColumn(
+        "_fields", F.when(body.repeats_keys(fields), body.keep_last(fields)).otherwise(fields)
     )
-    unique = named.withColumn("_fields", body.keep_last(F.col("_fields")))
     raw = body.field(F.lit("raw"), body.default_raw(F.col("raw")).cast("variant"))
     line = F.concat_ws(
         "\t",
