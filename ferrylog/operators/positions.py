@@ -1,16 +1,18 @@
 """Exact positions in stream order without one task per stream.
 
 ``row_number`` partitioned by stream would sort a hot stream in a single task.
-Here time is cut into spans of 2^16 ms. A first small job counts the rows of
-each (stream, span) and writes, per span, how many rows come before it; the
-count shrinks to almost nothing before its shuffle. Rows then meet that table
-and are numbered span by span: one shuffle of the rows, on (stream, span). The
-table's size is known once it is written, so Spark broadcasts it when it is
-small and joins by shuffle, on the same keys as the numbering, when it is not.
-
-Should a span hold more than 2^20 rows, rows are numbered in cells instead: one
-millisecond and 2^16 sequence numbers. Ids are unique in their stream, so a
-cell is bounded even when a third of all rows share one millisecond.
+Here time is cut into spans. A first small job counts the rows of each (stream,
+span) and writes, per span, how many rows come before it; the count shrinks to
+almost nothing before its shuffle. Rows then meet that table and are numbered
+span by span: one shuffle of the rows, on (stream, span). The table's size is
+known once it is written, so Spark broadcasts it when it is small and joins by
+shuffle, on the same keys as the numbering, when it is not.
+
+Spans are 2^20 ms (17 minutes) wide. Should one hold more than 2^20 rows, the
+count is taken again for spans of 2^12 ms (4 seconds), and should one of those
+be crowded, too, rows are numbered in cells: one millisecond and 2^16 sequence
+numbers. Ids are unique in their stream, so a cell is bounded even when a third
+of all rows share one millisecond.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from ferrylog.functions.ids import id_ms, id_seq
 from ferrylog.schema import require_positive
 from ferrylog.session import written
 
-_SPAN_BITS = 16
+_SPAN_BITS = (20, 12)
 _PART_BITS = 16
 _SPAN_ROWS = 1 << 20
 _SPAN = ["stream", "_span"]
@@ -40,8 +42,7 @@ def with_position(
     The order is (``major``, ``minor``), by default the id's pair of numbers;
     a key that is not a number sorts first. Runs the counting job at once.
     """
-    keyed = _with_cell(df, major, minor)
-    return _number(keyed, written(_span_table(keyed), "spans"), span_rows)
+    return _number(_keyed(df, major, minor), span_rows)
 
 
 def first_per_stream(
@@ -57,17 +58,16 @@ def first_per_stream(
     dropped where they are read. Runs the counting job at once.
     """
     require_positive(limit=limit)
-    keyed = _with_cell(df, major, minor)
-    spans = written(_span_table(keyed).filter(F.col("_before") < limit), "spans")
-    return _number(keyed, spans, span_rows, limit).filter(F.col("position") <= limit)
+    numbered = _number(_keyed(df, major, minor), span_rows, limit)
+    return numbered.filter(F.col("position") <= limit)
 
 
-def _with_cell(df: DataFrame, major: Column | None, minor: Column | None) -> DataFrame:
+def _keyed(df: DataFrame, major: Column | None, minor: Column | None) -> DataFrame:
     major = id_ms("id") if major is None else major
     minor = id_seq("id") if minor is None else minor
     return df.withColumns(
         {"_major": F.coalesce(major, F.lit(-1)), "_minor": F.coalesce(minor, F.lit(-1))}
-    ).withColumn("_span", F.shiftright("_major", _SPAN_BITS))
+    )
 
 
 def _before(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame:
@@ -76,29 +76,33 @@ def _before(counts: DataFrame, within: list[str], order: list[str]) -> DataFrame
     return counts.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
 
 
-def _span_table(keyed: DataFrame) -> DataFrame:
-    counts = keyed.groupBy(*_SPAN).agg(F.count(F.lit(1)).alias("_n"))
-    return _before(counts, ["stream"], ["_span"])
+def _span_table(rows: DataFrame, limit: int | None) -> DataFrame:
+    counts = rows.groupBy(*_SPAN).agg(F.count(F.lit(1)).alias("_n"))
+    table = _before(counts, ["stream"], ["_span"])
+    return table if limit is None else table.filter(F.col("_before") < limit)
 
 
-def _number(
-    keyed: DataFrame, spans: DataFrame, span_rows: int, limit: int | None = None
-) -> DataFrame:
-    crowded = spans.agg(F.max("_n")).first()[0]
+def _number(keyed: DataFrame, span_rows: int, limit: int | None = None) -> DataFrame:
+    for bits in _SPAN_BITS:
+        rows = keyed.withColumn("_span", F.shiftright("_major", bits))
+        spans = written(_span_table(rows, limit), "spans")
+        crowded = (spans.agg(F.max("_n")).first()[0] or 0) > span_rows
+        if not crowded:
+            break
     starts = spans.select(*_SPAN, "_before")
-    if crowded is None or crowded <= span_rows:
-        group, order = _SPAN, ["_major", "_minor"]
-        rows = keyed.join(starts, _SPAN)
-    else:
+    if crowded:
         group, order = _CELL, ["_minor"]
-        cut = keyed.withColumn("_part", F.shiftright("_minor", _PART_BITS))
+        cut = rows.withColumn("_part", F.shiftright("_minor", _PART_BITS))
         cells = _cell_starts(cut, starts)
         if limit is not None:
             cut = cut.join(starts.select(*_SPAN), _SPAN, "left_semi")
             cells = cells.filter(F.col("_before") < limit)
-        rows = cut.join(cells, _CELL)
+        joined = cut.join(cells, _CELL)
+    else:
+        group, order = _SPAN, ["_major", "_minor"]
+        joined = rows.join(starts, _SPAN)
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return rows.withColumn("position", F.col("_before") + place).drop(
+    return joined.withColumn("position", F.col("_before") + place).drop(
         "_before", "_span", "_major", "_minor", "_part"
     )
 
