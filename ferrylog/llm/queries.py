@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ferrylog.llm import (
     decontaminate,
+    html_extract,
     mixing,
     near_dedup,
     quality,
     secret_scan,
+    suffix_dedup,
+    surrogates,
     token_binary,
     token_count,
 )
@@ -54,6 +57,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.private_texts(table(spark, sf_dir, "documents"))
+
+
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.page_texts(table(spark, sf_dir, "pages"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -64,6 +79,9 @@ QUERIES: dict[str, Query] = {
         op5_token_counts,
         op6_source_mix,
         op7_decontamination,
+        op8_pii_surrogates,
+        op9_page_text,
+        op10_suffix_dedup,
     )
 }
 
