@@ -104,14 +104,11 @@ def apportion(sources: DataFrame, seats: int) -> DataFrame:
                 break
     if low_seats == seats:
         return sources.withColumn("seats", at(low))
-    more = (
-        sources.select("rank", "weight", F.explode(F.sequence(at(high) + 1, at(low))).alias("k"))
-        if low_seats > high_seats
-        else None
+    more = sources.filter(at(low) > at(high)).select(
+        "rank", "weight", F.explode(F.sequence(at(high) + 1, at(low))).alias("k")
     )
     open_seats = (
-        more.filter(F.col("k") >= 1)
-        .withColumn("quotient", F.col("weight") / (2 * F.col("k") - 1))
+        more.withColumn("quotient", F.col("weight") / (2 * F.col("k") - 1))
         .orderBy(F.col("quotient").desc(), "rank", "k")
         .limit(seats - high_seats)
         .groupBy("rank")

@@ -14,8 +14,8 @@ are logarithmically many and every suffix is rewritten as often.
 A candidate stands for a run of neighbouring strings. If the stretch of text that
 the run covers also occurs elsewhere as a whole, all its strings do. Otherwise the
 strings are compared one by one with those of the other candidates of the gram:
-groups of up to ``SMALL`` in memory, larger ones by counting string digests,
-so that no group has to fit anywhere. Digests are 128 bits, text keys 64 bits.
+groups of up to ``SMALL`` in memory, larger ones by counting digests of blocks of
+strings and then of strings, so that no group has to fit anywhere. Digests are 128 bits, text keys 64 bits.
 
 Matches never cross texts. Null texts count as empty; texts under ``LENGTH``
 bytes lose nothing; equal texts lose everything from ``LENGTH`` bytes on, and are
@@ -41,6 +41,8 @@ from ferrylog.session import scratch_path, written
 LENGTH = 200
 GRAM = 32
 SMALL = 64
+#: Neighbouring strings that large groups compare at once.
+BLOCK = 16
 BATCHES = 2
 
 _U64 = np.uint64
@@ -246,25 +248,43 @@ def _small_groups(rows: DataFrame) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h").mapInArrow(compare, RUNS)
 
 
-def _large_groups(rows: DataFrame) -> DataFrame:
-    """The same for groups of any size, by counting digests of strings."""
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Large groups split by ``BLOCK`` neighbouring strings: the bytes that all of them share.
+
+    Equal strings have equal shared bytes, so they stay in one group; a candidate's
+    strings of a block are a stretch of their own.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, _, dk, pos, first, _, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n, at = len(text) - LENGTH + 1, first - pos
+                for block in range(at // BLOCK, (at + n - 1) // BLOCK + 1):
+                    begin = max(block * BLOCK, at) - at
+                    end = min((block + 1) * BLOCK, at + n) - at
+                    core = text[max(0, (block + 1) * BLOCK - 1 - at) : block * BLOCK - at + LENGTH]
+                    own = text[begin : end - 1 + LENGTH]
+                    key = xxhash.xxh3_64_intdigest(core, (h ^ block) & (2**64 - 1)) - (1 << 63)
+                    zone = xxhash.xxh3_64_intdigest(own, begin + at - block * BLOCK) - (1 << 63)
+                    out.append((key, zone, dk, pos, first + begin, 0, own))
+            yield _batch(out, FINE)
+
+    return rows.mapInArrow(split, FINE)
+
+
+def _counted_strings(rows: DataFrame) -> DataFrame:
+    """Strings that two candidates of a group of any size share, by counting digests."""
     schema = "w binary, dk long, pos int, start int"
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for h, _, dk, pos, first, _, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield _batch(
-                    [
-                        (
-                            xxhash.xxh3_128_digest(text[k : k + LENGTH], (h ^ (first + k - pos)) & (2**64 - 1)),
-                            dk,
-                            pos,
-                            first + k,
-                        )
-                        for k in range(len(text) - LENGTH + 1)
-                    ],
-                    schema,
-                )
+                for k in range(len(text) - LENGTH + 1):
+                    seed = (h ^ (first + k - pos)) & (2**64 - 1)
+                    out.append((xxhash.xxh3_128_digest(text[k : k + LENGTH], seed), dk, pos, first + k))
+            yield _batch(out, schema)
 
     every = rows.mapInArrow(strings, schema)
     shared = every.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w")
@@ -272,6 +292,30 @@ def _large_groups(rows: DataFrame) -> DataFrame:
     return found.select("dk", "pos", F.col("start").alias("first"), F.col("start").alias("last"))
 
 
+def _large_groups(rows: DataFrame) -> DataFrame:
+    """Strings that candidates of large groups share: whole blocks, then single strings."""
+    blocks = written(_blocks(rows), "blocks")
+    last = F.col("first") + F.octet_length("stretch") - LENGTH
+    zones = blocks.groupBy("h", "z").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos", "first")).alias("one")
+    )
+    zones = written(zones, "zones")
+    whole = blocks.select("h", "z", "dk", "pos", "first", last.cast("int").alias("last")).join(
+        zones.filter("n > 1").select("h", "z"), ["h", "z"]
+    )
+    alone = zones.groupBy("h").agg(
+        F.count(F.lit(1)).alias("size"), F.min("n").alias("least")
+    ).filter("size > 1 AND least = 1")
+    open_ = zones.join(alone.select("h", "size"), "h").select("one.dk", "one.pos", "one.first", "size")
+    left = blocks.drop("size").join(open_, ["dk", "pos", "first"])
+    left = written(left.select("h", "z", "dk", "pos", "first", "size", "stretch"), "stretches")
+    return (
+        whole.select("dk", "pos", "first", "last")
+        .union(_small_groups(left.filter(F.col("size") <= SMALL)))
+        .union(_counted_strings(left.filter(F.col("size") > SMALL)))
+    )
+
+
 def repeated_runs(texts: DataFrame, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
     """(dk, pos, z) of places all of whose strings repeat, and (dk, pos, first, last) of others."""
     index, found = SuffixIndex(), None
