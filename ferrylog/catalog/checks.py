@@ -27,10 +27,10 @@ entries AS (
       WHEN 2 THEN 'not json'
       WHEN 3 THEN '{{"severity":"' || sev || '"}}'
       WHEN 4 THEN '{{"hostname":"h' || user_id || '","severity":' || sev || ',"raw":"inner"}}'
-      WHEN 5 THEN '{{"severity":' || sev || ',"structured_data":{{"L1":{{"L2":{{"deep":"' || user_id || '"}}}}}}}}'
+      WHEN 5 THEN '{{"severity":' || sev || ',"structured_data":{{"hall":{{"row":{{"seat":"' || user_id || '"}}}}}}}}'
       WHEN 6 THEN '{{"severity":' || sev || ',"structured_data":"-"}}'
       ELSE '{{"hostname":"h' || user_id || '","severity":' || sev || ',"facility":' || facility
-           || ',"structured_data":{{"meta@1":' || props || '}}}}'
+           || ',"structured_data":{{"site@7":' || props || '}}}}'
     END AS object,
     CASE WHEN kind IN (0, 7) THEN ''
          ELSE '<' || (facility * 8 + sev % 8) || '>1 ' || event_type || ' ' || event_id END AS raw
@@ -47,7 +47,7 @@ lines AS (
       WHEN kind = 2 THEN '{{'
       WHEN kind = 3 THEN '{{"severity":"INFO",'
       WHEN kind = 4 THEN '{{"hostname":"h' || user_id || '","severity":"' || name || '",'
-      WHEN kind = 5 THEN '{{"severity":"' || name || '","deep":"' || user_id || '",'
+      WHEN kind = 5 THEN '{{"severity":"' || name || '","seat":"' || user_id || '",'
       WHEN kind = 6 THEN '{{"severity":"' || name || '",'
       ELSE '{{"hostname":"h' || user_id || '","severity":"' || name || '","facility":' || facility
            || ',"k":' || json_extract(props, '$.k') || ','
@@ -204,8 +204,8 @@ _SELECTS: dict[str, str] = {
       SELECT arrival, stream, ids, ack, '' AS reject_reason FROM acks
       UNION ALL SELECT arrival, stream, ids, ack, reason FROM bad""",
     "route_topic": """
-      SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'device-' || user_id || '/syslog/remote'
-        ELSE 'syslog/remote' END AS topic FROM ev""",
+      SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'unit-' || user_id || '/logs/in'
+        ELSE 'logs/in' END AS topic FROM ev""",
     "extract_fields": _ENTRY,
     "drop_empty_body": _ENTRY + " WHERE object <> '' OR raw <> ''",
     "severity_name": _NAMED,
@@ -215,11 +215,11 @@ _SELECTS: dict[str, str] = {
         WHEN event_id % 7 = 1 AND user_id % 12 = 0 THEN 'EMERGENCY' ELSE 'INFO' END AS severity
       FROM ev""",
     "flatten_structured_data": """
-      SELECT id, stream, 'deep' AS key,
-        json_extract(j, '$.structured_data.L1.L2.deep')::VARCHAR AS value
+      SELECT id, stream, 'seat' AS key,
+        json_extract(j, '$.structured_data.hall.row.seat')::VARCHAR AS value
       FROM parsed WHERE kind = 5
       UNION ALL
-      SELECT id, stream, 'k', json_extract(j, '$.structured_data."meta@1".k')::VARCHAR
+      SELECT id, stream, 'k', json_extract(j, '$.structured_data."site@7".k')::VARCHAR
       FROM parsed WHERE kind > 6""",
     "pass_through_fields": """
       SELECT id, stream, key, json_extract(j, '$.' || key)::VARCHAR AS value FROM (

@@ -49,10 +49,10 @@ CASE event_id % 25
   WHEN 3 THEN concat('{"severity":"', user_id % 10, '"}')
   WHEN 4 THEN concat('{"hostname":"h', user_id, '","severity":', user_id % 10, ',"raw":"inner"}')
   WHEN 5 THEN concat('{"severity":', user_id % 10,
-                     ',"structured_data":{"L1":{"L2":{"deep":"', user_id, '"}}}}')
+                     ',"structured_data":{"hall":{"row":{"seat":"', user_id, '"}}}}')
   WHEN 6 THEN concat('{"severity":', user_id % 10, ',"structured_data":"-"}')
   ELSE concat('{"hostname":"h', user_id, '","severity":', user_id % 10,
-              ',"facility":', user_id % 24, ',"structured_data":{"meta@1":', props, '}}')
+              ',"facility":', user_id % 24, ',"structured_data":{"site@7":', props, '}}')
 END"""
 _RAW = """
 CASE WHEN event_id % 25 IN (0, 7) THEN ''

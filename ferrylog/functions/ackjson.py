@@ -17,16 +17,19 @@ def parse_ack(parsed: Column) -> Column:
     """Typed fields of an ack from its parsed JSON object.
 
     Other keys are ignored, a value of the wrong type counts as absent, and an
-    absent ``ack`` is false. The last of repeated keys holds.
+    absent ``ack`` is false. Repeated ``ids`` add up, of a repeated ``stream`` the
+    last text holds, of a repeated ``ack`` the last value.
     """
-    stream, ack = _last(parsed, "stream"), _last(parsed, "ack")
-    ids = F.try_variant_get(_last(parsed, "ids"), "$", "array<string>")
+    ack = _last(parsed, "ack")
+    lists = F.transform(
+        _values(parsed, "ids"), lambda v: F.try_variant_get(v, "$", "array<string>")
+    )
+    streams = F.filter(_values(parsed, "stream"), lambda v: F.schema_of_variant(v) == "STRING")
+    given = F.filter(lists, lambda v: v.isNotNull())
+    ids = F.when(F.size(given) > 0, F.flatten(given))
     return F.struct(
         F.filter(ids, lambda i: i.isNotNull()).alias("ids"),
-        F.when(
-            F.schema_of_variant(stream) == "STRING",
-            F.try_variant_get(stream, "$", "string"),
-        ).alias("stream"),
+        F.try_variant_get(F.try_element_at(streams, F.lit(-1)), "$", "string").alias("stream"),
         F.coalesce(
             F.when(
                 F.schema_of_variant(ack) == "BOOLEAN",
@@ -52,5 +55,8 @@ def ack_object(text: Column) -> Column:
 
 
 def _last(parsed: Column, key: str) -> Column:
-    values = F.map_values(F.map_filter(parsed, lambda k, _: k == F.lit(key)))
-    return F.try_element_at(values, F.lit(-1))
+    return F.try_element_at(_values(parsed, key), F.lit(-1))
+
+
+def _values(parsed: Column, key: str) -> Column:
+    return F.map_values(F.map_filter(parsed, lambda k, _: k == F.lit(key)))

@@ -20,8 +20,16 @@ _SQL_OPTIONS = "map('allowNumericLeadingZeros', 'true')"
 
 
 def json_object(text: Column) -> Column:
-    """Parse a JSON object; null when the text is not one."""
-    return F.from_json(text, _MAP, _OPTIONS)
+    """Parse a JSON object; null when the text is not one, or is more than one.
+
+    The parser stops at the end of the first value. Inside brackets whatever
+    follows is seen; only text with a bracket of its own could close them, and
+    has to stand inside braces as well.
+    """
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_MAP}>", _OPTIONS)
+    braced = F.from_json(F.concat(F.lit('{"o":'), text, F.lit("}")), _MAP, _OPTIONS)
+    whole = ~F.contains(text, F.lit("]")) | braced.isNotNull()
+    return F.when((F.size(listed) == 1) & whole, F.get(listed, F.lit(0)))
 
 
 def object_fields(parsed: Column) -> Column:
@@ -160,7 +168,7 @@ def fields_json(fields: Column) -> Column:
 def json_escape(text: Column) -> Column:
     """Text as it stands between the quotes of a JSON string."""
     quoted = F.to_json(F.array(text))
-    return F.substr(quoted, F.lit(3), F.length(quoted) - 4)
+    return F.when(text.isNotNull(), F.substr(quoted, F.lit(3), F.length(quoted) - 4))
 
 
 def split_line(line: Column) -> Column:

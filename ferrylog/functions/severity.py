@@ -14,7 +14,7 @@ def severity_name(text: Column) -> Column:
     The pattern guards the cast, which would otherwise trim blanks and accept
     fractions. The code is looked up once; a place outside the list gives null.
     """
-    code = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+    code = F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("int"))
     names = F.array(*[F.lit(n) for n in SEVERITY_NAMES])
     return F.coalesce(F.get(names, code), F.lit(SEVERITY_FALLBACK))
 

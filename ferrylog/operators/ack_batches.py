@@ -89,7 +89,8 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
     """Add ``batch`` to every ack message."""
     require_positive(max_ids=max_ids)
     run_length = max(_RUN_MESSAGES, 16 * max_ids)
-    messages = valid.select("stream", "arrival", "ids", "ack").withColumn(
+    ids = F.col("ids").cast("array<string>").alias("ids")
+    messages = valid.select("stream", "arrival", ids, "ack").withColumn(
         "run", floor_div(F.col("arrival"), run_length)
     )
 

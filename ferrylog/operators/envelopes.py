@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrylog.functions.body import split_line
 from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import zstd_pack, zstd_unpack
 from ferrylog.operators.positions import with_position
-from ferrylog.schema import BATCH_SIZE, MAX_DECOMPRESS_BYTES, require_positive
+from ferrylog.schema import BATCH_SIZE, MAX_DECOMPRESS_BYTES, MAX_ENVELOPE_BYTES, require_positive
 
 
 def number_batches(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -23,34 +23,45 @@ def number_batches(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     return numbered.withColumn("batch", floor_div(F.col("position") - 1, batch_size))
 
 
-def batch_texts(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+def batch_texts(
+    lines: DataFrame, batch_size: int = BATCH_SIZE, max_bytes: int = MAX_ENVELOPE_BYTES
+) -> DataFrame:
     """Envelopes before compression, with ``body`` as newline-joined lines.
 
     A null line marks an entry without a body: it takes a place in its batch
     and is counted, but not published. A batch without lines gives nothing.
-    Every collected list is bounded by ``batch_size``.
+    A batch of more than ``max_bytes`` comes in several envelopes, so that every
+    list is bounded in lines and bytes and no reader's cap is met.
     """
     ordered = F.sort_array(
         F.collect_list(F.when(F.col("line").isNotNull(), F.struct("position", "line")))
     )
     joined = F.array_join(F.transform(ordered, lambda r: r["line"]), "\n")
     columns = [c for c in ("id", "stream", "line", "position") if c in lines.columns]
+    ahead = Window.partitionBy("stream", "batch").orderBy("position")
+    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.octet_length("line") + 1, F.lit(0)).cast("bigint")
+    part = floor_div(F.coalesce(F.sum(size).over(ahead), F.lit(0)), max_bytes)
     return (
         number_batches(lines.select(*columns), batch_size)
-        .groupBy("stream", "batch")
+        .withColumn("_part", part)
+        .groupBy("stream", "batch", "_part")
         .agg(
             F.count("line").alias("n_lines"),
             (F.count(F.lit(1)) - F.count("line")).alias("n_skipped"),
             joined.alias("body"),
         )
         .filter(F.col("n_lines") > 0)
+        .drop("_part")
         .withColumn("raw_bytes", F.octet_length("body").cast("bigint"))
     )
 
 
-def pack_envelopes(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """One zstd frame per stream and batch."""
-    return batch_texts(lines, batch_size).select(
+def pack_envelopes(
+    lines: DataFrame, batch_size: int = BATCH_SIZE, max_bytes: int = MAX_ENVELOPE_BYTES
+) -> DataFrame:
+    """One zstd frame per stream and batch, more for a batch of many bytes."""
+    return batch_texts(lines, batch_size, max_bytes).select(
         "stream", "batch", "n_lines", "n_skipped", "raw_bytes", zstd_pack(F.col("body")).alias("payload")
     )
 

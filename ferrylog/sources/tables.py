@@ -23,10 +23,11 @@ def read_entries(spark: SparkSession, path: str, stream: str | None = None) -> D
     """
     stored = spark.read.schema(ENTRIES).parquet(path)
     if stream is not None:
-        stored = stored.filter(F.col("stream") == stream)
+        # Spark stores an empty partition value as its name for null
+        stored = stored.filter(F.col("stream") == stream if stream else F.col("stream").isNull())
     return stored.select(
         "id",
-        "stream",
+        F.coalesce("stream", F.lit("")).alias("stream"),
         F.coalesce("object", F.lit("")).alias("object"),
         F.coalesce("raw", F.lit("")).alias("raw"),
     )

@@ -91,10 +91,10 @@ def test_wire_fields(spark):
 
 
 def test_topics(spark):
-    df = spark.createDataFrame([("device-42",), ("",), (None,)], "tenant string")
-    got = [r.topic for r in tables.route_topic(df, "syslog/remote", "tenant").collect()]
-    assert got == ["device-42/syslog/remote", "syslog/remote", "syslog/remote"]
-    assert tables.route_topic(df, "syslog/remote").first().topic == "syslog/remote"
+    df = spark.createDataFrame([("unit-42",), ("",), (None,)], "tenant string")
+    got = [r.topic for r in tables.route_topic(df, "logs/in", "tenant").collect()]
+    assert got == ["unit-42/logs/in", "logs/in", "logs/in"]
+    assert tables.route_topic(df, "logs/in").first().topic == "logs/in"
 
 
 @pytest.mark.parametrize(
@@ -141,3 +141,19 @@ def test_errors_and_backlog(spark, lines):
     assert got == {("publish", "batch"): 13}
     assert rp.ack_backlog(lines, lines.filter("stream = 'a'")).first()[0] == 4
     assert rp.ack_backlog(lines.filter("false"), lines.filter("false")).first()[0] == 0
+
+
+def test_envelopes_are_bounded_in_bytes(spark):
+    lines = spark.createDataFrame([(f"{k}-0", "s", f"{k}-0\ts\t{'x' * 500}") for k in range(1, 41)], "id string, stream string, line string")
+    packed = en.pack_envelopes(lines, batch_size=30, max_bytes=2_000)
+    assert max(r.raw_bytes for r in packed.collect()) < 2_000 + 520
+    back = en.unpack_envelopes(packed, 3_000)
+    assert {r.line for r in back.collect()} == {r.line for r in lines.collect()}
+
+
+def test_empty_stream_name_survives_storage(spark, tmp_path):
+    rows = [("1-0", "", "{}", "r"), ("2-0", "s", "{}", "r")]
+    tables.write_entries(spark.createDataFrame(rows, "id string, stream string, object string, raw string"), str(tmp_path / "e"))
+    found = tables.read_entries(spark, str(tmp_path / "e"))
+    assert {(r.id, r.stream) for r in found.collect()} == {("1-0", ""), ("2-0", "s")}
+    assert [r.id for r in tables.read_entries(spark, str(tmp_path / "e"), "").collect()] == ["1-0"]
