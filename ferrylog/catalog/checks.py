@@ -285,6 +285,7 @@ _SELECTS: dict[str, str] = {
     "unacked_after_stream": _UNACKED,
     "dedup_received": "SELECT id, stream, line FROM lines WHERE line IS NOT NULL",
     "dedup_received_stream": "SELECT id, stream, raw FROM entries",
+    "dedup_received_late": "SELECT id, stream, raw FROM entries",
     "counters": f"""
       SELECT CASE WHEN stream IS NULL THEN 'total' ELSE 'stream' END AS scope,
         coalesce(stream, '') AS stream, metric, CAST(sum(n) AS BIGINT) AS value

@@ -405,7 +405,7 @@ def ack_dedup(t: Tables) -> DataFrame:
 @query
 def ack_dedup_stream(t: Tables) -> DataFrame:
     rows = t.outcomes.select("stream", "id", "ack", F.timestamp_millis("acked_at_ms").alias("at"))
-    source = t.stream_of(rows.unionByName(rows), "acks").withWatermark("at", "1 day")
+    source = t.stream_of(rows.unionByName(rows), "acks")
     return t.drained(st.ack_dedup(source), "distinct").select("stream", "id", "ack")
 
 
@@ -532,7 +532,18 @@ def dedup_received(t: Tables) -> DataFrame:
 @query
 def dedup_received_stream(t: Tables) -> DataFrame:
     rows = parse_id(t.entries).select("id", "stream", "raw", "event_time")
-    source = t.stream_of(rows.unionByName(rows), "received").withWatermark("event_time", "1 day")
+    source = t.stream_of(rows.unionByName(rows), "received")
+    return t.drained(en.dedup_received(source), "distinct").select("id", "stream", "raw")
+
+
+@query
+def dedup_received_late(t: Tables) -> DataFrame:
+    """Newest days first, one file a micro-batch, all of it twice."""
+    rows = parse_id(t.entries).select("id", "stream", "raw", "event_time")
+    days = rows.repartitionByRange(6, F.col("event_time").desc())
+    path = t.stored(days, "received")
+    days.write.mode("append").parquet(path)
+    source = feeds.stream_table(t.spark, path, rows.schema, 1)
     return t.drained(en.dedup_received(source), "distinct").select("id", "stream", "raw")
 
 

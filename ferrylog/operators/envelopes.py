@@ -10,6 +10,7 @@ from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import zstd_pack, zstd_unpack
 from ferrylog.operators.positions import with_position
 from ferrylog.schema import BATCH_SIZE, MAX_DECOMPRESS_BYTES, MAX_ENVELOPE_BYTES, require_positive
+from ferrylog.streaming.receipt import first_received
 
 
 def number_batches(lines: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -95,8 +96,6 @@ def _decoded(max_bytes: int) -> Column:
     return zstd_unpack(F.col("payload"), max_bytes).cast("string")
 
 
-def dedup_received(lines: DataFrame) -> DataFrame:
-    """One copy per (stream, id); on a stream, copies within the watermark."""
-    if lines.isStreaming:
-        return lines.dropDuplicatesWithinWatermark(["stream", "id"])
-    return lines.dropDuplicates(["stream", "id"])
+def dedup_received(lines: DataFrame, keep: str = "1 day") -> DataFrame:
+    """One copy per (stream, id); on a stream, of those received within ``keep``."""
+    return first_received(lines, ["stream", "id"], keep)

@@ -11,6 +11,7 @@ from ferrylog.functions.numbers import floor_div
 from ferrylog.functions.zstd import is_compressed, zstd_unpack
 from ferrylog.schema import MAX_DECOMPRESS_BYTES, require_positive
 from ferrylog.session import written
+from ferrylog.streaming.receipt import first_received
 
 _KEY = ["stream", "id"]
 
@@ -62,11 +63,9 @@ def explode_acks(valid: DataFrame) -> DataFrame:
     return valid.select("stream", F.explode("ids").alias("id"), "ack")
 
 
-def ack_dedup(acks: DataFrame) -> DataFrame:
-    """Repeated acks have the effect of one."""
-    if acks.isStreaming:
-        return acks.dropDuplicatesWithinWatermark([*_KEY, "ack"])
-    return acks.dropDuplicates([*_KEY, "ack"])
+def ack_dedup(acks: DataFrame, keep: str = "1 day") -> DataFrame:
+    """Repeated acks have the effect of one; on a stream, within ``keep`` of receipt."""
+    return first_received(acks, [*_KEY, "ack"], keep)
 
 
 def accumulate_acks(valid: DataFrame, part_messages: int = 1024) -> DataFrame:

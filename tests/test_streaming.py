@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.operators import envelopes as en
 from ferrylog.operators.shape import build_payload
-from ferrylog.operators.settle import read_acks
+from ferrylog.operators.settle import ack_dedup, read_acks
 from ferrylog.schema import ACK_PAYLOADS, ENTRIES
 from ferrylog.session import scratch_path
 from ferrylog.sources import tables
@@ -86,6 +86,23 @@ def test_observed_acks(spark):
     assert dict(done.totals) == {"messages_acked": 2, "messages_nacked": 1, "errors_ack": 1}
 
 
+def test_old_rows_are_not_lost(spark):
+    """Rows nine days behind what came before are new all the same."""
+    path = scratch_path(spark, "late")
+    for days in (9, 0, 9, 4):
+        rows = [("s", f"{days}-{n}", days) for n in range(3)]
+        df = spark.createDataFrame(rows, "stream string, id string, days int")
+        at = F.timestamp_millis(F.lit(BASE) + F.col("days") * 86_400_000)
+        df.withColumn("at", at).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    schema = "stream string, id string, days int, at timestamp"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = drained(spark, en.dedup_received(stream)).collect()
+    assert sorted(r.id for r in got) == [f"{d}-{n}" for d in (0, 4, 9) for n in range(3)]
+    acks = stream.withColumn("ack", F.col("days") == 9)
+    assert drained(spark, ack_dedup(acks)).count() == 9
+
+
 def flushes(messages, limit, wait):
     """Reference walk over (at_ms, ids, ack): (trigger, ids, nacks, messages)."""
     out, since, ids, nacks, n = [], 0, [], 0, 0
