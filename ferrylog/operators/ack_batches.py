@@ -12,8 +12,10 @@ such maps compose:
 3. with its entry state known, each run numbers its batches (parallel).
 
 No task ever sees more than one run, one group of maps, or the group totals of
-a stream. The maps are read twice, so they are written to the scratch folder;
-they take less than a byte per message.
+a stream. Runs are cut by position, not by arrival number, so that they are full
+however sparse a stream's arrivals are. Only arrival, position and number of ids
+of a message travel to Python. Positions and maps are read twice, so they are
+written to the scratch folder; the maps take less than a byte per message.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.functions.numbers import floor_div
+from ferrylog.operators.positions import with_position
 from ferrylog.schema import ACK_BATCH_SIZE, require_positive
 from ferrylog.session import written
 
@@ -89,10 +92,13 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
     """Add ``batch`` to every ack message."""
     require_positive(max_ids=max_ids)
     run_length = max(_RUN_MESSAGES, 16 * max_ids)
-    ids = F.col("ids").cast("array<string>").alias("ids")
-    messages = valid.select("stream", "arrival", ids, "ack").withColumn(
-        "run", floor_div(F.col("arrival"), run_length)
+    messages = valid.select("stream", "arrival", "ids", "ack")
+    sizes = messages.select(
+        "stream", F.col("arrival").cast("bigint").alias("arrival"), F.size("ids").cast("bigint").alias("n")
     )
+    placed = with_position(sizes, F.col("arrival"), F.lit(0))
+    run = floor_div(F.col("position") - 1, run_length).alias("run")
+    placed = written(placed.select("stream", run, "arrival", "n"), "placed")
 
     def to_map(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ordered = table.sort_by("arrival")
@@ -107,8 +113,7 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
         )
 
     maps = written(
-        messages.select("stream", "run", "arrival", F.size("ids").cast("bigint").alias("n"))
-        .groupBy("stream", "run")
+        placed.groupBy("stream", "run")
         .applyInArrow(to_map, f"stream string, run bigint, {_MAP}")
         .withColumn("grp", floor_div(F.col("run"), _GROUP_RUNS)),
         "maps",
@@ -175,19 +180,16 @@ def number_ack_batches(valid: DataFrame, max_ids: int = ACK_BATCH_SIZE) -> DataF
             ordered.column("state")[0].as_py(),
             ordered.column("first")[0].as_py(),
         )
-        return ordered.select(["stream", "arrival", "ids", "ack"]).append_column(
+        return ordered.select(["stream", "arrival"]).append_column(
             "batch", pa.array(batch, pa.int64())
         )
 
-    return (
-        messages.withColumn("n", F.size("ids").cast("bigint"))
-        .join(runs, ["stream", "run"])
+    numbers = (
+        placed.join(runs, ["stream", "run"])
         .groupBy("stream", "run")
-        .applyInArrow(
-            number,
-            "stream string, arrival bigint, ids array<string>, ack boolean, batch bigint",
-        )
+        .applyInArrow(number, "stream string, arrival bigint, batch bigint")
     )
+    return messages.join(numbers, ["stream", "arrival"])
 
 
 def collect_batches(numbered: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import zstandard
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ferrylog.operators import ack_batches as ab
 from ferrylog.operators import settle as st
@@ -69,6 +70,26 @@ def test_batches_against_walk(spark, monkeypatch, limit):
     assert got == {s: walk(ms, limit) for s, ms in streams.items()}
 
 
+def test_sparse_arrivals_and_required_ids(spark, monkeypatch):
+    """Few messages far apart make full runs; ids may be a type without nulls."""
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("stream"),
+        (F.col("id") * 5000).alias("arrival"),
+        F.array(F.concat(F.lit("x"), F.col("id"))).alias("ids"),
+        F.lit(True).alias("ack"),
+    )
+    stored = {}
+    real = ab.written
+    monkeypatch.setattr(ab, "written", lambda df, label: stored.setdefault(label, real(df, label)))
+    got = ab.ack_batches(rows, 16).collect()
+    assert stored["maps"].count() == 2
+    for stream, of_stream in (("a", range(0, 400, 3)), ("b", [n for n in range(400) if n % 3])):
+        parts = sorted((r.batch, r.ack_ids) for r in got if r.stream == stream)
+        ids = [f"x{n}" for n in of_stream]
+        assert [i for _, p in parts for i in p] == ids
+        assert [len(p) for _, p in parts[:-1]] == [16] * (len(ids) // 16 - (len(ids) % 16 == 0))
+
+
 def test_run_maps_compose():
     rng = np.random.default_rng(5)
     sizes = rng.integers(1, 40, 200)
