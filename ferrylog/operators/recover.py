@@ -14,6 +14,7 @@ from ferrylog.schema import (
     BATCH_SIZE,
     CLAIM_IDLE_MS,
     CONSUMER_IDLE_TIMEOUT_MS,
+    RELEASED,
     require_positive,
 )
 from ferrylog.session import written
@@ -99,10 +100,11 @@ def consumers_info(
 ) -> DataFrame:
     """Per stream and consumer: pending count and time since last activity.
 
-    With ``consumers`` those that hold nothing are listed, too. Both sides
-    become one table before the only shuffle.
+    With ``consumers`` those that hold nothing are listed, too; released deliveries
+    belong to nobody. Both sides become one table before the only shuffle.
     """
-    seen = pending_set.select(
+    owned = pending_set.filter(~F.col("consumer").eqNullSafe(F.lit(RELEASED)))
+    seen = owned.select(
         *_OWNED, F.lit(1).alias("held"), F.col("delivered_at_ms").alias("last_seen_ms")
     )
     if consumers is not None:
@@ -125,6 +127,21 @@ def dead_consumers(
     )
 
 
+def release(pending_set: DataFrame, dead: DataFrame) -> DataFrame:
+    """The pending set, in which deliveries of dead consumers have no owner.
+
+    They keep their delivery time and so their turn in the claim feed. Their old
+    owner, gone from the consumers, is not listed again because of them.
+    """
+    gone = dead.select(*_OWNED).distinct().withColumn("_gone", F.lit(True))
+    owner = F.when(F.col("_gone"), F.lit(RELEASED)).otherwise(F.col("consumer"))
+    return (
+        pending_set.join(gone, _OWNED, "left")
+        .withColumn("consumer", owner)
+        .select(*pending_set.columns)
+    )
+
+
 def drop_dead_consumers(
     consumers: DataFrame, pending_set: DataFrame, dead: DataFrame
 ) -> Dropped:

@@ -24,6 +24,7 @@ from ferrylog.schema import (
     CONSUMER_IDLE_TIMEOUT_MS,
     DELIVERIES,
 )
+from ferrylog.session import written
 
 
 class Delivered(NamedTuple):
@@ -92,14 +93,16 @@ def recover(
     """Drop dead consumers, claim idle deliveries and build them again.
 
     What a dead consumer held goes to the claim feed first: it keeps its place
-    in the pending set with its old delivery time, so it is claimed as soon as
-    it is idle long enough, and never stranded.
+    in the pending set with its old delivery time but no owner, so it is claimed as
+    soon as it is idle long enough, never stranded, and its old owner is reported
+    in one round only. The dead and the pending set are written once.
     """
     info = rec.consumers_info(deliveries, now_ms, consumers)
-    dead = rec.dead_consumers(info, consumer, idle_timeout_ms)
+    dead = written(rec.dead_consumers(info, consumer, idle_timeout_ms), "dead")
     dropped = rec.drop_dead_consumers(consumers, deliveries, dead)
+    waiting = written(rec.release(deliveries, dead), "waiting")
     claimed, after = rec.claim_idle(
-        entries, deliveries, consumer, now_ms, claim_idle_ms, batch_size
+        entries, waiting, consumer, now_ms, claim_idle_ms, batch_size
     )
     return Recovered(
         lines=build_payload(claimed, skip_empty=True)

@@ -111,6 +111,9 @@ ZSTD_MAGIC_HEX = "28B52FFD"
 FNV_OFFSET = 2166136261
 FNV_PRIME = 16777619
 
+# Owner of a delivery whose consumer was dropped.
+RELEASED = ""
+
 # What stands in a payload line for an entry without raw text.
 EMPTY_RAW = "-"
 

@@ -113,6 +113,24 @@ def test_dead_consumers(spark):
     assert [(r.consumer, r.released) for r in out.report.collect()] == [("dead", 2)]
 
 
+def test_dead_consumer_is_reported_once(spark, entries_of):
+    """More is pending than one claim takes; what is left has no owner."""
+    entries = entries_of([(f"{n}-0", "s", "", "r") for n in range(8)])
+    deliveries = spark.createDataFrame([("s", f"{n}-0", "dead", n) for n in range(8)], DELIVERY)
+    consumers = spark.createDataFrame([("s", "dead", 0), ("s", "me", 1000)], CONSUMER)
+    reports, claimed = [], []
+    for now in (1000, 1300, 1600):
+        done = jobs.recover(entries, deliveries, consumers, "me", now, 700, 600, batch_size=3)
+        claimed += sorted(r.id for r in done.lines.collect())
+        reports.append([(r.consumer, r.released) for r in done.report.collect()])
+        deliveries, consumers = table_of(done.deliveries), table_of(done.consumers)
+        owners = {r.consumer for r in deliveries.collect()}
+        assert owners <= {"me", ""} and deliveries.count() == 8
+    assert reports == [[("dead", 8)], [], []]
+    assert [r.consumer for r in consumers.collect()] == ["me"]
+    assert set(claimed) == {f"{n}-0" for n in range(8)}
+
+
 def table_of(df):
     """The next version of a table, as a job's caller would write it."""
     return written(df, "version")
