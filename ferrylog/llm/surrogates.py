@@ -42,7 +42,7 @@ KINDS = {
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "phone": re.compile(
         r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
-        r"|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)"
+        r"|(?<![\w.])\+\d{1,3}(?:[ .-]?\d)?(?:[ .-]?\d{2,4}){2,5}(?!\w)"
         r"|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"
     ),
     "name": re.compile(
@@ -50,9 +50,11 @@ KINDS = {
         rf"|(?P<n>Dr|Prof))\.? (?P<who>{_CAPITAL}(?: {_CAPITAL}){{0,2}})"
     ),
 }
-#: A text without any of these holds no entity.
+#: A digit of any script; what the JVM's Unicode does not know yet may be one, too.
+_DIGIT = r"[\p{Nd}\p{Cn}]"
+#: A text without any of these holds no entity: each is a part that every match of a kind has.
 MAY_HOLD = (
-    r"@|[0-9]{3}|[0-9]\.[0-9]|\((?:[0-9]{2,4})\)|[A-Z]{2}[0-9]{2}"
+    rf"@|{_DIGIT}{{3}}|{_DIGIT}\.{_DIGIT}|\({_DIGIT}{{2,4}}\)|\+{_DIGIT}|[A-Z]{{2}}{_DIGIT}{{2}}"
     r"|(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Se.or|Se.ora|Sr|Sra|Monsieur|Madame|Mme|г-н|г-жа)\.? "
 )
 
@@ -88,7 +90,14 @@ def iban_ok(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _ascii(raw: str) -> str:
+    """The text with the digits of all scripts as 0 to 9."""
+    return raw if raw.isascii() else "".join(str(int(c)) if c.isdecimal() else c for c in raw)
+
+
 def canonical(kind: str, raw: str) -> str:
+    if kind in ("card", "ssn", "phone", "iban", "ip"):
+        raw = _ascii(raw)
     if kind in ("card", "ssn", "phone"):
         return ("+" if raw.startswith("+") else "") + re.sub(r"\D", "", raw)
     if kind == "iban":
@@ -184,11 +193,18 @@ def surrogate(key: str, kind: str, value: str, attempt: int) -> str:
     return plus + new
 
 
+def _like(old: str, new: str) -> str:
+    """A digit in the script of the one it replaces."""
+    if old.isascii() or not (old.isdecimal() and new.isdecimal()):
+        return new
+    return chr(ord(old) - int(old) + int(new))
+
+
 def render(kind: str, raw: str, value: str) -> str:
     """A canonical surrogate written the way the original was."""
     if kind in ("card", "ssn", "phone", "iban"):
         chars = iter(value.removeprefix("+"))
-        return "".join(next(chars, "") if c.isalnum() else c for c in raw) + "".join(chars)
+        return "".join(_like(c, next(chars, "")) if c.isalnum() else c for c in raw) + "".join(chars)
     if kind == "name":
         return value.partition(":")[2]
     if kind == "email" and raw != raw.lower() and len(raw) == len(value):

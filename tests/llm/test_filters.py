@@ -140,6 +140,33 @@ def plain_leaks(docs, items):
     return out
 
 
+def test_every_kind_alone_is_replaced(spark):
+    """No entity may need another one beside it to be looked at."""
+    alone = {
+        "email": ["a@b.org"],
+        "iban": ["GB82 WEST 1234 5698 7654 32"],
+        "ip": ["1.2.3.4", "10.20.30.40"],
+        "card": ["4111 1111 1111 1111", "4111111111111111"],
+        "ssn": ["123-45-6789"],
+        "phone": [
+            "+44 20 79 46 09 58", "+49 30 12 34 56", "+33 1 23 45 67 89", "+33123456789", "(020) 7946 0958",
+            "202 555 0143", "+٤٤ ٢٠ ٧٩ ٤٦ ٠٩ ٥٨", "٢٠٢-٥٥٥-٠١٤٣",
+        ],
+        "name": ["Mr Smith", "г-жа Иванова", "Señora García"],
+    }
+    assert alone.keys() == surrogates.KINDS.keys()
+    rows = [(kind, f"see {raw} now") for kind, some in alone.items() for raw in some]
+    rows += [("none", "see nobody + 1 now")]
+    docs = spark.createDataFrame(rows, "kind string, text string")
+    got = {r.was: r for r in surrogates.replaced(docs.withColumn("was", F.col("text")), "k").collect()}
+    for kind, text in rows:
+        assert got[text].n_replaced == (kind != "none"), text
+        assert (got[text].text != text) == (kind != "none"), text
+    # digits keep their script, and the same number has the same surrogate in each
+    latin, arabic = got["see +44 20 79 46 09 58 now"].text, got["see +٤٤ ٢٠ ٧٩ ٤٦ ٠٩ ٥٨ now"].text
+    assert arabic != latin == "".join(str(int(c)) if c.isdecimal() else c for c in arabic)
+
+
 def test_leaks(spark, odd, odd_rows, empty):
     rng = random.Random(5)
     items = [(k, sentence(rng, rng.randint(12, 60)).capitalize() + ".") for k in range(12)]
