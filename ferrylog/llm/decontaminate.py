@@ -3,12 +3,16 @@
 Texts and items are sequences of lower-case words. The CGK embedding walks over a
 sequence: each step writes the current word and a random bit of that word and
 step says whether to move on. Few edits leave most of the walk as it was, so edit
-distance becomes Hamming distance. A repetition samples a few steps of the walk;
-an item and the window of a document that starts at a word are candidates when
-all samples of some repetition agree. The number of repetitions is set by
-simulated edits at the threshold, for the recall that is asked for. Candidates
-are verified exactly: the least edit distance, in words, between the item and any
-part of the text around the window.
+distance becomes Hamming distance. Walks begin at spaced offsets of an item, so that
+edits at one place leave the others, and at every word of a document. A repetition
+samples a few steps of a walk; an item and the window of a document that starts at
+a word are candidates when all samples of some repetition agree. The number of
+repetitions is set by simulated edits at the threshold, all over the item, at either
+end, in one run and evenly spaced, for the recall that is asked for. Where ``MAX_REPEATS`` do not reach it,
+items are cut into one piece more than there may be edits: a match has one of them
+intact, so windows that begin with a piece are all candidates that there can be.
+Candidates are verified exactly: the least edit distance, in words, between the item
+and any part of the text around the window.
 
 A window is embedded only if it can match at all: d word edits leave all but 2 d
 of an item's word pairs intact, so windows with fewer of the items' word pairs are
@@ -40,8 +44,14 @@ RECALL = 0.99
 MIN_WORDS = 5
 #: Steps of the walk that a repetition samples.
 SAMPLED = 3
-#: Steps of the walk; items of 32 words or more walk the full length.
+#: Steps of a walk, some 32 words.
 STEPS = 64
+#: Walks that begin in the words that all items of a class have.
+WALKS = 8
+#: Words of the items that are edited to find the number of repetitions.
+TRIED_WORDS = 8_000
+#: All over, at the front, at the back, in one run, evenly spaced.
+KINDS_OF_EDITS = 5
 MAX_REPEATS = 256
 #: Items and characters of one block, on average.
 BLOCK_ITEMS = 20_000
@@ -78,6 +88,7 @@ class _Class:
 
     def __init__(self, least: int, index: ItemIndex) -> None:
         self.steps = min(STEPS, 2 * least)
+        self.gap = max(1, least // WALKS)
         rng = np.random.default_rng((SEED, least))
         self.samples = np.sort(
             np.stack([rng.permutation(self.steps)[:SAMPLED] for _ in range(MAX_REPEATS)]), axis=1
@@ -88,6 +99,7 @@ class _Class:
     def key(self, x: np.ndarray, at: np.ndarray, r: int, hashes: np.ndarray) -> np.ndarray:
         """Keys of repetition ``r`` for the windows that start at ``at``; 0 for none."""
         place, bits = at.copy(), self.bits[r]
+        start = None
         key = np.full(len(at), self.salt[r])
         good = np.ones(len(at), bool)
         want, last = set(self.samples[r].tolist()), int(self.samples[r][-1])
@@ -96,6 +108,10 @@ class _Class:
             if step in want:
                 key = _mix(key ^ hashes[w])
                 good &= w > 0
+                start = place.copy() if start is None else start
+            if step == last:
+                # one word is no evidence
+                good &= place > start
             place += ((bits[w] >> _U64(step)) & _U64(1)).astype(np.int64)
         return np.where(good, key, _U64(0))
 
@@ -125,14 +141,17 @@ class ItemIndex:
         for k, x in enumerate(self.items):
             members[2 ** int(math.log2(len(x)))].append(k)
         self.members = dict(members)
-        self.least_pairs, self.reach = {}, {}
+        self.least_pairs, self.reach, self.before = {}, {}, {}
         for least, own in members.items():
             self.classes[least] = _Class(least, self)
             sizes = [len(self.items[k]) for k in own]
             self.least_pairs[least] = min(n - 1 - 2 * allowed(n, similarity) for n in sizes)
             self.reach[least] = max(n + allowed(n, similarity) for n in sizes)
+            self.before[least] = self.reach[least]
+        #: Repetitions of each class; 0 where pieces take their place.
         self.repeats = {c: self._repeats(c, recall) for c in self.classes}
-        self.keys, self.owners = self._keys()
+        self.lengths = {c: self._lengths(c) if not r else [] for c, r in self.repeats.items()}
+        self._keys()
 
     def _pair_table(self) -> np.ndarray:
         pairs = [self._pair(x[:-1], x[1:]) for x in self.items]
@@ -149,45 +168,110 @@ class ItemIndex:
         return (_mix(pair.astype(_U64)) >> _U64(64 - self.bits)).astype(np.int64)
 
     def _repeats(self, least: int, recall: float) -> int:
-        """Repetitions after which an item edited up to the threshold is found."""
-        rng, hit, tried = np.random.default_rng(SEED), 0, 0
-        for k in self.members[least][:40]:
+        """Repetitions after which the asked share of the items edited up to the threshold is found.
+
+        Edits lie as in ``_edited``; each kind has to reach the recall. 0 if ``MAX_REPEATS`` do not.
+        """
+        rng, cls, own = np.random.default_rng(SEED), self.classes[least], self.members[least]
+        own = [own[k] for k in rng.permutation(len(own))[: max(1, min(100, TRIED_WORDS // least))]]
+        trials = [(w, k) for k in own for w in range(KINDS_OF_EDITS) for _ in range(max(1, 100 // len(own)))]
+        gap = np.zeros(self.pad, np.int64)
+        parts, starts, trial, sides, at = [], [], [], [], 0
+        for t, (where, k) in enumerate(trials):
             item = self.items[k]
-            for _ in range(2):
-                edited = self._edited(item, rng)
-                x = np.concatenate((item, np.zeros(self.pad, np.int64), edited, np.zeros(self.pad, np.int64)))
-                at = np.array([0, len(item) + self.pad])
-                for r in range(0, MAX_REPEATS, 8):
-                    a, b = self.classes[least].key(x, at, r, self.hashes)
-                    hit += int(a == b and a != 0)
-                    tried += 1
-        p = min(0.999, max(hit / tried, 1e-3))
-        return min(MAX_REPEATS, math.ceil(math.log(1 - recall) / math.log(1 - p)))
-
-    def _edited(self, item: np.ndarray, rng) -> np.ndarray:
+            edited = self._edited(item, rng, where)
+            for side, x, places in (
+                (0, item, self._offsets(least, len(item))),
+                (1, edited, np.arange(len(edited))),
+            ):
+                parts += [x, gap]
+                starts.append(at + places)
+                trial.append(np.full(len(places), t))
+                sides.append(np.full(len(places), side, bool))
+                at += len(x) + len(gap)
+        x, start, trial, side = map(np.concatenate, (parts, starts, trial, sides))
+        where = np.array([w for w, _ in trials])
+        found = np.zeros(len(trials), bool)
+        for r in range(MAX_REPEATS):
+            key = _mix(cls.key(x, start, r, self.hashes)) ^ trial.astype(_U64)
+            none = _mix(np.zeros(1, _U64))[0] ^ trial.astype(_U64)
+            good = key != none
+            common = np.intersect1d(key[good & ~side], key[good & side])
+            found[trial[good & side][np.isin(key[good & side], common)]] = True
+            if all(found[where == w].mean() >= recall for w in range(KINDS_OF_EDITS)):
+                # the trials are a sample
+                return min(MAX_REPEATS, 2 * (r + 1) + 2)
+        return 0
+
+    def _edited(self, item: np.ndarray, rng, where: int = 0) -> np.ndarray:
+        """Edits up to the threshold, of one of the kinds."""
+        n, d = len(item), allowed(len(item), self.similarity)
+        if where == 4:
+            out = item.copy()
+            out[np.linspace(0, n - 1, d + 2).astype(int)[1:-1]] = 0
+            return out
+        if where:
+            a = (0, n - d, int(rng.integers(n - d + 1)))[where - 1]
+            other = rng.integers(0, len(self.number) + 1, d if rng.integers(2) else 0)
+            return np.concatenate((item[:a], other, item[a + d :]))
         out = item.tolist()
-        for _ in range(allowed(len(item), self.similarity)):
+        for _ in range(d):
             at = int(rng.integers(len(out)))
             word = int(rng.integers(0, len(self.number) + 1))
             kind = int(rng.integers(3))
             out[at : at + (kind != 2)] = [word] if kind else []
         return np.array(out, np.int64)
 
-    def _keys(self) -> tuple[np.ndarray, list[list[int]]]:
-        owners = defaultdict(set)
+    def _offsets(self, least: int, n: int) -> np.ndarray:
+        """Where the walks of an item of ``n`` words begin."""
+        return np.arange(0, n - 1, self.classes[least].gap)
+
+    def _pieces(self, k: int) -> list[tuple[int, int]]:
+        """(offset, words) of the pieces of an item, one more than it may have edits."""
+        n = len(self.items[k])
+        cuts = np.linspace(0, n, allowed(n, self.similarity) + 2).astype(int).tolist()
+        return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _lengths(self, least: int) -> list[int]:
+        return sorted({n for k in self.members[least] for _, n in self._pieces(k)})
+
+    def _runs(self, least: int, x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Keys of the ``n`` words from each place on; 0 if one of them is in no item."""
+        key, good = np.full(len(at), _U64(least * 1_000_003 + n)), np.ones(len(at), bool)
+        for j in range(n):
+            w = x[at + j]
+            key, good = _mix(key ^ self.hashes[w]) + _U64(j), good & (w > 0)
+        return np.where(good, key, _U64(0))
+
+    def _keys(self) -> None:
+        """Sorted keys, and for each a range of owners: items and offsets in them."""
+        every: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for least, own in self.members.items():
             size = [len(self.items[k]) + self.pad for k in own]
-            at = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+            base = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
             x = np.concatenate([np.append(self.items[k], np.zeros(self.pad, np.int64)) for k in own])
-            for r in range(self.repeats[least]):
-                for k, key in zip(own, self.classes[least].key(x, at, r, self.hashes).tolist(), strict=True):
-                    if key:
-                        owners[key].add(k)
-        keys = np.array(sorted(owners), dtype=_U64)
-        return keys, [sorted(owners[k]) for k in keys.tolist()]
-
-    def candidates(self, x: np.ndarray) -> list[tuple[int, int]]:
-        """(place, item) of windows that share a key with an item."""
+            offsets = [self._offsets(least, len(self.items[k])) for k in own]
+            owner = np.repeat(np.array(own), [len(o) for o in offsets])
+            offset = np.concatenate(offsets)
+            at = np.repeat(base, [len(o) for o in offsets]) + offset
+            every += [
+                (self.classes[least].key(x, at, r, self.hashes), owner, offset)
+                for r in range(self.repeats[least])
+            ]
+            for n in self.lengths[least]:
+                some = [(k, b, a) for k, b in zip(own, base.tolist(), strict=True) for a, m in self._pieces(k) if m == n]
+                owner, first, offset = (np.array(c, np.int64) for c in zip(*some, strict=True))
+                every.append((self._runs(least, x, first + offset, n), owner, offset))
+        zero = np.zeros(0, np.int64)
+        keys, owner, offset = map(np.concatenate, zip((zero.astype(_U64), zero, zero), *every, strict=True))
+        order = np.argsort(keys, kind="stable")
+        order = order[keys[order] > 0]
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.first = np.append(first, len(order))
+        self.owner, self.offset = owner[order].astype(np.int32), offset[order].astype(np.int32)
+
+    def candidates(self, x: np.ndarray) -> list[tuple[int, int, int]]:
+        """(place, item, offset) of windows that share a key with an item from that offset on."""
         found = set()
         if not len(self.keys):
             return []
@@ -196,23 +280,35 @@ class ItemIndex:
         starts = np.arange(len(x) - self.pad)
         for least, cls in self.classes.items():
             ends = np.minimum(starts + self.reach[least] - 1, len(near))
-            at = starts[total[ends] - total[starts] >= max(1, self.least_pairs[least])]
-            for r in range(self.repeats[least] if len(at) else 0):
-                key = cls.key(x, at, r, self.hashes)
+            full = total[ends] - total[starts] >= max(1, self.least_pairs[least])
+            # a window may start anywhere in a passage
+            count = np.concatenate(([0], np.cumsum(full)))
+            at = starts[count[1:] > count[np.maximum(0, starts - self.before[least])]]
+            if not len(at):
+                continue
+            keys = [cls.key(x, at, r, self.hashes) for r in range(self.repeats[least])]
+            keys += [self._runs(least, x, at, n) for n in self.lengths[least]]
+            for key in keys:
                 place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 for j in np.flatnonzero((self.keys[place] == key) & (key > 0)).tolist():
-                    found.update((int(at[j]), k) for k in self.owners[int(place[j])])
+                    a, b = self.first[place[j] : place[j] + 2].tolist()
+                    found.update(
+                        (int(at[j]), k, o)
+                        for k, o in zip(self.owner[a:b].tolist(), self.offset[a:b].tolist(), strict=True)
+                    )
         return sorted(found)
 
-    def matches(self, x: np.ndarray, candidates: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    def matches(self, x: np.ndarray, candidates: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
         """(item, begin, end, distance) in words, without overlaps of one item."""
-        out, done = [], {}
-        for place, k in candidates:
-            item = self.items[k]
-            if place < done.get(k, -1):
+        out, done, tried = [], defaultdict(list), set()
+        for place, k, offset in candidates:
+            start = place - offset
+            if (start, k) in tried or any(a <= place < b for a, b in done[k]):
                 continue
+            tried.add((start, k))
+            item = self.items[k]
             d = allowed(len(item), self.similarity)
-            low, high = max(0, place - d), min(len(x), place + len(item) + 2 * d)
+            low, high = max(0, start - d), min(len(x), start + len(item) + 2 * d)
             # d edits take away at most d of the item's different words
             if len(self.sets[k].intersection(x[low:high].tolist())) < len(self.sets[k]) - d:
                 continue
@@ -220,8 +316,10 @@ class ItemIndex:
             if distance > d:
                 continue
             _, back = _best_end(item[::-1], x[low : low + end][::-1], free_start=False)
-            out.append((k, low + end - back, low + end, distance))
-            done[k] = low + end
+            a, b = low + end - back, low + end
+            if all(b <= c or e <= a for c, e in done[k]):
+                out.append((k, a, b, distance))
+                done[k].append((a, b))
         return out
 
 
@@ -256,9 +354,9 @@ class _Found:
             x = np.concatenate([p for e in some for p in (e, gap)])
             bases = np.cumsum([0] + [len(e) + ix.pad for e in some])
             by = defaultdict(list)
-            for place, k in ix.candidates(x):
+            for place, k, offset in ix.candidates(x):
                 doc = int(np.searchsorted(bases, place, "right")) - 1
-                by[doc].append((place - int(bases[doc]), k))
+                by[doc].append((place - int(bases[doc]), k, offset))
             for doc, own in by.items():
                 out[a + doc] = ix.matches(some[doc], own)
         return out

@@ -194,6 +194,46 @@ def test_leaks(spark, odd, odd_rows, empty):
     assert dc.without_leaks(frame, bench.limit(0)).count() == len(docs)
 
 
+def test_leaks_edited_at_one_end():
+    """Items whose edits all lie at the front, the back, in the middle or at every fifth word."""
+    rng = random.Random(12)
+    sizes = (5, 7, 10, 14, 25, 50, 120, 200, 300, 500)
+    items = [(k, sentence(rng, n)) for k, n in enumerate(sizes * 10)]
+    index = dc.ItemIndex(items, dc.SIMILARITY, dc.RECALL)
+    missed = Counter()
+    for k, text in items:
+        w = text.split(" ")
+        d = dc.allowed(len(w))
+        m = (len(w) - d) // 2
+        other = sentence(rng, d).split(" ")
+        fifth = [x if i % 5 != 4 else "other" for i, x in enumerate(w)]
+        cuts = [w[d:], w[: len(w) - d], other + w[d:], w[: len(w) - d] + other, w[:m] + w[m + d :], fifth]
+        around = sentence(rng, 30)
+        found = dc._Found(index)([f"{around} {' '.join(c)} {around}" for c in cuts])
+        assert all([h[0] for h in hits] in ([], [k]) for hits in found)
+        missed.update(kind for kind, hits in enumerate(found) if not hits)
+    assert all(n <= 0.02 * len(items) for n in missed.values()), missed
+
+
+def test_leaks_without_repetitions(monkeypatch):
+    """Pieces find every edited item where the repetitions don't reach the recall."""
+    monkeypatch.setattr(dc, "MAX_REPEATS", 1)
+    rng = random.Random(13)
+    items = [(k, sentence(rng, n)) for k, n in enumerate((5, 9, 10, 33, 64, 200) * 5)]
+    index = dc.ItemIndex(items, dc.SIMILARITY, 1.0)
+    assert not all(index.repeats.values())
+    for k, text in items:
+        w = text.split(" ")
+        if index.repeats[max(c for c in index.repeats if c <= len(w))]:
+            continue
+        for _ in range(5):
+            cut = list(w)
+            for i in rng.sample(range(len(w)), dc.allowed(len(w))):
+                cut[i] = rng.choice(["", "other", w[0]])
+            (hits,) = dc._Found(index)([f"{sentence(rng, 9)} {' '.join(cut)} {sentence(rng, 9)}"])
+            assert [h[0] for h in hits] == [k]
+
+
 def seats_by_quotients(weights, most, seats):
     have = [0] * len(weights)
     for _ in range(seats):
