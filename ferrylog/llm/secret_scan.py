@@ -1,10 +1,12 @@
 """Secrets in texts: fixed patterns, and strings that compress badly where they stand.
 
 The patterns report what follows a telling name, access keys and long hex runs.
-Beyond those, strings of 16 or more key characters near a sensitive word are
-measured: the bytes that zstandard needs for the string once it knows the text
+Beyond those, strings of 16 or more key characters are measured that hold a
+sensitive word, have one near before or behind them, or follow line by line on such
+a string: the bytes that zstandard needs for the string once it knows the text
 around it and common code identifiers. Words, paths and identifiers are cheap
-then; random keys cost nearly all their bytes and are reported as ``novel``.
+then; random keys cost nearly all their bytes, as far as the symbols they are
+written in need them, and are reported as ``novel``.
 
 Places are code points, ends exclusive. Null texts count as empty; texts without
 finds have empty spans. Rows and repeated rows stay as they are.
@@ -12,6 +14,7 @@ finds have empty spans. Rows and repeated rows stay as they are.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -39,10 +42,16 @@ SENSITIVE = re.compile(
 
 #: Characters around a candidate that prime the compressor.
 AROUND = 1_024
-#: Characters before a candidate in which a sensitive word has to stand.
+#: Characters between a candidate and a sensitive word before or behind it.
 NEAR = 64
 #: Compressed bytes per character from which a candidate is reported.
 NOVELTY = 0.6
+#: Share of its alphabet's bits from which a string of few symbols is reported.
+OWN_NOVELTY = 0.95
+#: What may stand between two lines of one key, as in a PEM file or a string literal.
+LINE_END = re.compile(r"""[ \t"'+,]*(?:(?:\\r)?\\(?=n)|\r?\n)[ \t"'+,]*""")
+#: The last line of a key may be short.
+LAST_LINE = re.compile(rf"""({LINE_END.pattern})([A-Za-z0-9+/_=-]{{2,15}})(?=["'\\]|\s|$)""")
 
 #: Identifiers that source code repeats, the compressor's fixed dictionary.
 IDENTIFIERS = " ".join(
@@ -102,28 +111,52 @@ _EMPTY = len(
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings near a sensitive word, apart from the pattern finds."""
     found = []
-    words = [m.start() for m in SENSITIVE.finditer(text)]
-    done = 0
-    for place in words:
-        for m in CANDIDATE.finditer(text, max(done, place), min(len(text), place + NEAR)):
-            a = m.start()
-            b = CANDIDATE.match(text, a).end()
-            if a < done or (a > 0 and _inside(text[a - 1])):
-                continue
-            done = b
-            string = text[a:b]
-            if not (re.search("[0-9]", string) and re.search("[A-Za-z]", string)):
-                continue
-            if any(a < end and start < b for start, _, end in base):
-                continue
-            cost = marginal_bytes(string, text[max(0, a - AROUND) : a], text[b : b + AROUND])
-            if cost >= NOVELTY * len(string):
-                found.append((a, 3, b))
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return found
+    at, last = 0, None
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        # words are in order: those before the first that may be near are done with
+        while at < len(words) and words[at][1] + NEAR < a:
+            at += 1
+        near = at < len(words) and words[at][0] <= b + NEAR
+        follows = last is not None and LINE_END.fullmatch(text, last, a) is not None
+        if not (near or follows):
+            continue
+        if not novel(text, a, b):
+            continue
+        last = b
+        if not any(a < end and start < b for start, _, end in base):
+            found.append((a, 3, b))
+        tail = LAST_LINE.match(text, b) if follows else None
+        if tail and (tail[2].endswith("=") or re.match(r"(?:\s|\\n)*-----END", text[tail.end() :])):
+            c, d = tail.span(2)
+            if not any(c < end and start < d for start, _, end in base):
+                found.append((c, 3, d))
     return found
 
 
-def _inside(char: str) -> bool:
-    return CANDIDATE.pattern and re.fullmatch("[A-Za-z0-9+/_=-]", char) is not None
+def novel(text: str, a: int, b: int) -> bool:
+    """Whether the string, or what follows on the sensitive words it begins with, is incompressible."""
+    inner = [m.end() for m in SENSITIVE.finditer(text, a, b)]
+    for start in (a, *inner[-1:]):
+        string = text[start:b]
+        if len(string) < 16 or not (re.search("[0-9]", string) and re.search("[A-Za-z]", string)):
+            continue
+        cost = marginal_bytes(string, text[max(0, start - AROUND) : start], text[b : b + AROUND])
+        if cost >= _least(string):
+            return True
+    return False
+
+
+def _least(string: str) -> float:
+    """Bytes from which a string is reported; its own symbols count once it shows them all."""
+    symbols = len(set(string))
+    share = NOVELTY
+    if len(string) >= 4 * symbols:
+        share = min(share, OWN_NOVELTY * math.log2(symbols) / 8)
+    return share * len(string)
 
 
 def _join(spans: list[tuple[int, int, int]]) -> str:
