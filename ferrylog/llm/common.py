@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,3 +68,15 @@ def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
         .withColumn(name, F.col(name) + F.col(place))
         .drop(part, place)
     )
+
+
+def bounded(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring items in parts of at most ``limit`` together; a larger item stands alone."""
+    begin = total = 0
+    for k, size in enumerate(sizes):
+        if k > begin and total + size > limit:
+            yield begin, k
+            begin, total = k, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ferrylog.llm import (
     decontaminate,
+    fingerprints,
     html_extract,
     mixing,
     near_dedup,
+    periodic_runs,
     quality,
     secret_scan,
+    spelling,
     suffix_dedup,
     surrogates,
     token_binary,
@@ -69,6 +72,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_table(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_table(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_table(table(spark, sf_dir, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -82,8 +97,14 @@ QUERIES: dict[str, Query] = {
         op8_pii_surrogates,
         op9_page_text,
         op10_suffix_dedup,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_fingerprints,
     )
 }
 
 #: Queries that SQL can express.
-CHECKS: dict[str, str] = {"op2_quality_rules": quality.SQL}
+CHECKS: dict[str, str] = {
+    "op2_quality_rules": quality.SQL,
+    "op12_spelling_variants": spelling.SQL,
+}
