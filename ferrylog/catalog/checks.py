@@ -54,7 +54,7 @@ lines AS (
       END || '"raw":"' || CASE raw WHEN '' THEN '-' ELSE raw END || '"}}' AS body
     FROM (SELECT *, {_SEVERITY.format("sev")} AS name FROM entries))),
 deliveries AS (
-  SELECT *, 'consumer-' || ((ms - {fx.START_MS}) // {5 * fx.DAY_MS}) AS consumer,
+  SELECT *, 'relay-' || ((ms - {fx.START_MS}) // {5 * fx.DAY_MS}) AS consumer,
     ms + 1000 AS delivered_at_ms
   FROM entries WHERE event_id % 3 <> 0),
 outcomes AS (
@@ -76,11 +76,11 @@ ranked_idle AS (
   SELECT *, row_number() OVER (PARTITION BY stream ORDER BY id_ms, id_seq) AS rn
   FROM pending WHERE idle_ms >= {fx.CLAIM_IDLE_MS}),
 chosen AS (SELECT * FROM ranked_idle WHERE rn <= {q.CLAIM_BATCH}),
-claimed AS (SELECT * FROM chosen WHERE raw <> ''),
+claimed AS (SELECT * FROM chosen),
 consumers AS (
   SELECT stream, consumer, max(delivered_at_ms) AS last_seen_ms FROM deliveries GROUP BY 1, 2
   UNION ALL
-  SELECT DISTINCT stream, 'consumer-idle', {fx.START_MS} FROM entries),
+  SELECT DISTINCT stream, 'spare', {fx.START_MS} FROM entries),
 info AS (
   SELECT c.stream, c.consumer, count(p.id) AS pending,
     {fx.NOW_MS} - max(greatest(c.last_seen_ms, coalesce(p.delivered_at_ms, 0))) AS idle_ms
@@ -225,6 +225,27 @@ _SELECTS: dict[str, str] = {
       SELECT id, stream, key, json_extract(j, '$.' || key)::VARCHAR AS value FROM (
         SELECT id, stream, j, unnest(json_keys(j)) AS key FROM parsed WHERE j IS NOT NULL)
       WHERE key NOT IN ('structured_data', 'severity', 'raw')""",
+    "flatten_deep": """
+      SELECT id, stream, 'leaf' AS key, event_id::VARCHAR AS value FROM entries
+      WHERE event_id % 4 = 0
+      UNION ALL SELECT id, stream, 'last', '1.10' FROM entries WHERE event_id % 4 = 0""",
+    "pass_through_numbers": f"""
+      SELECT id, stream, unnest(['price', 'big', 'far', 'list', 'obj']) AS key,
+        unnest([user_id || '.50', '{fx.ODD_BIG}', '1e400', '[1.0,  ' || event_id || ']',
+                '{{"z":1,"a":-0.0}}']) AS value
+      FROM entries WHERE event_id % 4 = 1
+      UNION ALL SELECT id, stream, 'name', '"caf\\u00e9"' FROM entries WHERE event_id % 4 = 2
+      UNION ALL
+      SELECT id, stream, 'hostname', '"h' || user_id || '"' FROM entries WHERE event_id % 4 = 3""",
+    "build_payload_odd": f"""
+      SELECT id, stream, id || chr(9) || stream || chr(9) || CASE event_id % 4
+        WHEN 0 THEN '{{"leaf":' || event_id || ',"last":1.10'
+        WHEN 1 THEN '{{"price":' || user_id || '.50,"big":{fx.ODD_BIG},"far":1e400,"list":[1.0,  '
+          || event_id || '],"obj":{{"z":1,"a":-0.0}}'
+        WHEN 2 THEN '{{"name":"caf\\u00e9","severity":"' || name || '"'
+        ELSE '{{"hostname":"h' || user_id || '","severity":"' || name || '"'
+      END || ',"raw":"r"}}' AS line
+      FROM (SELECT *, {_SEVERITY.format("sev")} AS name FROM entries)""",
     "default_raw": "SELECT id, CASE raw WHEN '' THEN '-' ELSE raw END AS raw FROM entries",
     "tolerate_bad_object": """
       SELECT id, object = '' OR j IS NOT NULL AS object_ok,
@@ -272,7 +293,9 @@ _SELECTS: dict[str, str] = {
       UNION ALL SELECT stream, id, '{fx.SELF}', {fx.NOW_MS} FROM claimed""",
     "redelivery_feed": """
       SELECT id, stream, line FROM lines
-      WHERE line IS NOT NULL AND (event_id % 3 = 0 OR id IN (SELECT id FROM claimed))""",
+      WHERE line IS NOT NULL AND id IN (SELECT id FROM fresh)
+      UNION ALL
+      SELECT id, stream, line FROM lines WHERE line IS NOT NULL AND id IN (SELECT id FROM claimed)""",
     "consumers_info": "SELECT stream, consumer, pending, idle_ms FROM info",
     "dead_consumers": "SELECT stream, consumer FROM dead",
     "drop_dead_consumers": "SELECT stream, consumer, pending AS released FROM dead",
@@ -283,6 +306,27 @@ _SELECTS: dict[str, str] = {
       SELECT stream, id, consumer FROM pending SEMI JOIN dead USING (stream, consumer)""",
     "unacked_after": _UNACKED,
     "unacked_after_stream": _UNACKED,
+    "unacked_after_late": _UNACKED,
+    "flush_acks_stream": f"""
+      SELECT f.stream, f.batch, CASE WHEN t.n >= {q.FLUSH_IDS} THEN 'size' ELSE 'time' END AS trigger,
+        f.messages, f.ack_ids, f.nack_count
+      FROM flushes f JOIN (
+        SELECT stream, batch, sum(n) AS n FROM walk JOIN m USING (stream, rn) GROUP BY 1, 2) t
+      USING (stream, batch)""",
+    "flush_acks_late": "SELECT stream, id FROM outcomes WHERE ack",
+    "deliver_stream_pending": f"""
+      SELECT stream, id, '{fx.SELF}' AS consumer, {fx.NOW_MS}::BIGINT AS delivered_at_ms
+      FROM entries WHERE id NOT IN (SELECT id FROM outcomes WHERE ack)""",
+    "deliver_rounds": f"""
+      SELECT (rn - 1) // {q.READ_BATCH} AS round, stream, count(*) AS n,
+        min(id_ms) AS first_ms, max(id_ms) AS last_ms
+      FROM (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY id_ms, id_seq) AS rn
+        FROM entries) GROUP BY 1, 2""",
+    "settle_store": """
+      SELECT stream, id, raw FROM entries
+      WHERE id NOT IN (SELECT id FROM outcomes WHERE ack)""",
+    "read_new_store": "SELECT stream, id, raw FROM fresh",
+    "claim_store": "SELECT id, stream, object, raw FROM claimed",
     "dedup_received": "SELECT id, stream, line FROM lines WHERE line IS NOT NULL",
     "dedup_received_stream": "SELECT id, stream, raw FROM entries",
     "dedup_received_late": "SELECT id, stream, raw FROM entries",

@@ -20,7 +20,8 @@ from ferrylog.functions.ids import parse_id
 from ferrylog.plans import jobs
 from ferrylog.session import prepare, scratch_path
 from ferrylog.sources import tables
-from ferrylog.streaming import ack_flush, feeds, observe, waiting
+from ferrylog.sources.store import EntryStore
+from ferrylog.streaming import ack_flush, feeds, ledger, observe, waiting
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,6 +236,21 @@ def pass_through_fields(t: Tables) -> DataFrame:
     return shape.pass_through_fields(t.entries)
 
 
+@query
+def flatten_deep(t: Tables) -> DataFrame:
+    return shape.structured_data_fields(t.odd_entries)
+
+
+@query
+def pass_through_numbers(t: Tables) -> DataFrame:
+    return shape.pass_through_fields(t.odd_entries)
+
+
+@query
+def build_payload_odd(t: Tables) -> DataFrame:
+    return shape.build_payload(t.odd_entries).select("id", "stream", "line")
+
+
 @query
 def default_raw(t: Tables) -> DataFrame:
     return t.entries.select("id", body.default_raw(F.col("raw")).alias("raw"))
@@ -426,7 +442,7 @@ def select_idle(t: Tables) -> DataFrame:
 
 def _claim(t: Tables) -> tuple[DataFrame, DataFrame]:
     return rec.claim_idle(
-        t.entries.filter(F.col("raw") != ""),
+        t.entries,
         t.pending(),
         fx.SELF,
         fx.NOW_MS,
@@ -437,7 +453,6 @@ def _claim(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query
 def claim_idle(t: Tables) -> DataFrame:
-    """Entries without raw text play the part of deleted entries."""
     return _claim(t)[0]
 
 
@@ -448,7 +463,7 @@ def claim_idle_deliveries(t: Tables) -> DataFrame:
 
 @query
 def redelivery_feed(t: Tables) -> DataFrame:
-    fresh = t.entries.filter(F.substring_index("id", "-", -1).cast("bigint") % 3 == 0)
+    fresh = sm.read_new(t.entries, t.cursors, READ_BATCH)[0]
     return rec.redelivery_feed(fresh, _claim(t)[0])
 
 
@@ -523,6 +538,110 @@ def unacked_after_stream(t: Tables) -> DataFrame:
     return t.drained(found, "unacked").select("stream", "id")
 
 
+def _late(t: Tables, rows: DataFrame, at: str, label: str) -> DataFrame:
+    """A stream of ``rows``, the newest ones first, one file of six a micro-batch."""
+    path = t.stored(rows.repartitionByRange(6, F.col(at).desc()), label)
+    return feeds.stream_table(t.spark, path, rows.schema, 1)
+
+
+@query
+def unacked_after_late(t: Tables) -> DataFrame:
+    """Deliveries and acks that come in newest first, given out after every third of them."""
+    book = ledger.Ledger(t.spark, scratch_path(t.spark, "ledger"))
+    said = t.outcomes.select("stream", "id", "ack", "acked_at_ms")
+    for rows, at, name in ((said, "acked_at_ms", "acks"), (t.deliveries, "delivered_at_ms", "deliveries")):
+        late = _late(t, rows, at, name)
+        book.record_stream(late, name, scratch_path(t.spark, "offsets")).awaitTermination()
+    far = fx.NOW_MS + 365 * fx.DAY_MS
+    for part, now in enumerate((fx.NOW_MS - 10 * fx.DAY_MS, far, far)):
+        book.give_overdue(part, now, fx.CLAIM_IDLE_MS)
+    return book.given().select("stream", "id")
+
+
+@query
+def flush_acks_stream(t: Tables) -> DataFrame:
+    """All acks in one micro-batch: by count as the batch operator, the rest by time."""
+    path = scratch_path(t.spark, "flushes")
+    acks = t.stream_of(t.acks, "acks")
+    ledger.flush_acks_stream(acks, path, scratch_path(t.spark, "offsets"), FLUSH_IDS).awaitTermination()
+    return ledger.read_flushes(t.spark, path).select(
+        "stream", "batch", "trigger", "messages", joined("ack_ids").alias("ack_ids"), "nack_count"
+    )
+
+
+@query
+def flush_acks_late(t: Tables) -> DataFrame:
+    """Every positive id of acks that come in newest first."""
+    path = scratch_path(t.spark, "flushes")
+    late = _late(t, t.acks, "arrival", "acks")
+    ledger.flush_acks_stream(late, path, scratch_path(t.spark, "offsets"), FLUSH_IDS).awaitTermination()
+    return ledger.read_flushes(t.spark, path).select("stream", F.explode("ack_ids").alias("id"))
+
+
+@query
+def deliver_stream_pending(t: Tables) -> DataFrame:
+    """What streamed delivery leaves pending: every entry, empty ones too, until acks come."""
+    source = scratch_path(t.spark, "entries")
+    tables.write_entries(t.entries, source)
+    book = ledger.Ledger(t.spark, scratch_path(t.spark, "ledger"))
+    book.deliver_stream(
+        feeds.stream_entries(t.spark, source, 16),
+        scratch_path(t.spark, "offsets"),
+        fx.SELF,
+        lambda: fx.NOW_MS,
+        PACK_BATCH,
+    ).awaitTermination()
+    book.record_acks(t.outcomes.select("stream", "id", "ack", "acked_at_ms"), 0)
+    return book.pending()
+
+
+@query
+def deliver_rounds(t: Tables) -> DataFrame:
+    """Rounds of the lowest unread ids of every stream, gone on with after a stop."""
+    path = scratch_path(t.spark, "ledger")
+    for most in (1, None):
+        book = ledger.Ledger(t.spark, path)
+        book.deliver_rounds(t.entries, fx.SELF, lambda: fx.NOW_MS, READ_BATCH, most)
+    sent = t.spark.read.parquet(f"{path}/deliveries")
+    return (
+        parse_id(sent)
+        .groupBy(F.col("part").cast("bigint").alias("round"), "stream")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("id_ms").alias("first_ms"), F.max("id_ms").alias("last_ms"))
+    )
+
+
+def _store(t: Tables) -> EntryStore:
+    store = EntryStore(t.spark, scratch_path(t.spark, "store"))
+    store.add(t.entries)
+    return store
+
+
+@query
+def settle_store(t: Tables) -> DataFrame:
+    """Two rounds of acks, the first one compacted away, the second left out on reading."""
+    store = _store(t)
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for part in (0, 1):
+        store.settle(t.ack_rows().filter(half == part), part)
+        if not part:
+            store.compact()
+    return store.live().select("stream", "id", "raw")
+
+
+@query
+def read_new_store(t: Tables) -> DataFrame:
+    """The next batch, when only days from the least cursor on are read."""
+    rows = sm.read_new(_store(t).unread(t.cursors), t.cursors, READ_BATCH)[0]
+    return rows.select("stream", "id", "raw")
+
+
+@query
+def claim_store(t: Tables) -> DataFrame:
+    """Claimed entries, when only the days of the chosen ids are read."""
+    chosen = rec.select_idle(t.pending(), fx.NOW_MS, fx.CLAIM_IDLE_MS, CLAIM_BATCH)
+    return _store(t).fetch(chosen)
+
+
 @query
 def dedup_received(t: Tables) -> DataFrame:
     lines = t.lines().filter(F.col("line").isNotNull())

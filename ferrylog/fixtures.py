@@ -21,7 +21,7 @@ NOW_MS = START_MS + 30 * DAY_MS
 # thresholds on the scale of the month, so that both sides occur
 CLAIM_IDLE_MS = 10 * DAY_MS
 CONSUMER_IDLE_TIMEOUT_MS = 10 * DAY_MS
-SELF = "consumer-2"
+SELF = "relay-b"
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def deliveries(events: DataFrame) -> DataFrame:
     return events.filter("event_id % 3 <> 0").selectExpr(
         f"{_STREAM} AS stream",
         f"{_ID} AS id",
-        f"concat('consumer-', (ms - {START_MS}) div {5 * DAY_MS}) AS consumer",
+        f"concat('relay-', (ms - {START_MS}) div {5 * DAY_MS}) AS consumer",
         "ms + 1000 AS delivered_at_ms",
     )
 
@@ -149,7 +149,7 @@ def consumers(events: DataFrame) -> DataFrame:
         .agg(F.max("delivered_at_ms").alias("last_seen_ms"))
     )
     idle = streams(events).select(
-        "stream", F.lit("consumer-idle").alias("consumer"), F.lit(START_MS).alias("last_seen_ms")
+        "stream", F.lit("spare").alias("consumer"), F.lit(START_MS).alias("last_seen_ms")
     )
     return seen.unionByName(idle)
 
@@ -165,3 +165,21 @@ def cursors(events: DataFrame) -> DataFrame:
         .filter("stream NOT IN ('syslog:error', 'syslog:view')")
         .selectExpr("stream", f"{START_MS + 15 * DAY_MS} AS id_ms", "0L AS id_seq")
     )
+
+
+ODD_DEPTH = 49
+ODD_BIG = "9" * 42
+
+
+def odd_entries(events: DataFrame) -> DataFrame:
+    """Bodies that a parser would write in another way, and deep ones, of every event."""
+    body = f"""
+    CASE event_id % 4
+      WHEN 0 THEN concat('{{"structured_data":', repeat('{{"n":', {ODD_DEPTH}),
+                         '{{"leaf":', event_id, ',"last":1.10}}', repeat('}}', {ODD_DEPTH}), '}}')
+      WHEN 1 THEN concat('{{"price":', user_id, '.50,"big":{ODD_BIG},"far":1e400,"list":[1.0,  ',
+                         event_id, '],"obj":{{"z":1,"a":-0.0}}}}')
+      WHEN 2 THEN concat('{{ "name" : "caf\\\\u00e9", "severity" : ', user_id % 10, ' }}')
+      ELSE concat('{{"hostname":"h', user_id, '","severity":', user_id % 10, '}}')
+    END"""
+    return events.selectExpr(f"{_ID} AS id", f"{_STREAM} AS stream", f"{body} AS object", "'r' AS raw")

@@ -2,7 +2,8 @@
 
 A body is parsed once into ``map<string,variant>``, which keeps key order, JSON
 types and repeated keys. Fields then travel as ``array<struct<key,value>>``
-until they are written as one JSON object.
+until they are written as one JSON object. That is for *plain* bodies, those that the
+parser writes as they were; all others are cut into slices of their text.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ferrylog.functions.severity import severity_json_sql
-from ferrylog.schema import EMPTY_RAW, MAX_FLATTEN_DEPTH
+from ferrylog.functions.severity import severity_json_sql, severity_name
+from ferrylog.schema import EMPTY_RAW
 
 _MAP = "map<string,variant>"
 _FIELDS = "array<struct<key:string,value:variant>>"
-_OPTIONS = {"allowNumericLeadingZeros": "true"}
-_SQL_OPTIONS = "map('allowNumericLeadingZeros', 'true')"
+_OPTIONS = {"allowNumericLeadingZeros": "true", "allowSingleQuotes": "false"}
+#: Structured data nested deeper is cut from the text.
+PLAIN_DEPTH = 4
 
 
 def json_object(text: Column) -> Column:
@@ -24,12 +26,19 @@ def json_object(text: Column) -> Column:
 
     The parser stops at the end of the first value. Inside brackets whatever
     follows is seen; only text with a bracket of its own could close them, and
-    has to stand inside braces as well.
+    has to be what its value is written as, or to stand inside braces as well.
     """
     listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_MAP}>", _OPTIONS)
     braced = F.from_json(F.concat(F.lit('{"o":'), text, F.lit("}")), _MAP, _OPTIONS)
-    whole = ~F.contains(text, F.lit("]")) | braced.isNotNull()
-    return F.when((F.size(listed) == 1) & whole, F.get(listed, F.lit(0)))
+    first = F.get(listed, F.lit(0))
+    whole = ~F.contains(text, F.lit("]")) | (F.to_json(first) == text) | braced.isNotNull()
+    return F.when((F.size(listed) == 1) & whole, first)
+
+
+def is_plain(text: Column, parsed: Column) -> Column:
+    """Whether the parsed body is written as its text, and is not nested deeply."""
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    return (F.to_json(parsed) == text) & (braces <= PLAIN_DEPTH + 1)
 
 
 def object_fields(parsed: Column) -> Column:
@@ -45,35 +54,22 @@ def field(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def flatten_structured_data(
-    value: str, max_depth: int = MAX_FLATTEN_DEPTH, prefix: str = ""
-) -> Column:
+def flatten_structured_data(value: str) -> Column:
     """Leaf fields of a nested object, named by their innermost key.
 
-    ``value`` names a VARIANT column. Arrays and nulls are leaves, empty objects
-    vanish, and what lies deeper than ``max_depth`` stays one JSON value. No
-    fields when the value is not an object.
+    ``value`` names a VARIANT column of a plain body. Arrays and nulls are leaves,
+    empty objects vanish. No fields when the value is not an object.
     """
-    return F.coalesce(F.expr(_leaves(value, max_depth, prefix)), no_fields())
+    return F.coalesce(F.expr(_leaves(value)), no_fields())
 
 
-def reshape_fields(fields: str, max_depth: int = MAX_FLATTEN_DEPTH) -> Column:
+def reshape_fields(fields: str) -> Column:
     """Name the severity, flatten structured data, pass all else through.
 
-    ``fields`` names a column of fields. A ``raw`` key of the body gives way to
-    the entry's own raw text.
-    """
-    return F.expr(_reshape(fields, _leaves("e.value", max_depth)))
-
-
-def reshape_in_order(text: str, max_depth: int = MAX_FLATTEN_DEPTH) -> Column:
-    """``reshape_fields`` of a body's text, with leaves in the text's order.
-
-    VARIANT sorts the keys of nested objects. Order matters only where equal
-    keys meet, so this slower way, which parses nested objects from their own
-    text, is for such bodies.
+    ``fields`` names a column of fields of a plain body. A ``raw`` key of the body gives
+    way to the entry's own raw text.
     """
-    return F.expr(_reshape(_texted(text), _leaves_in_order("e.text", max_depth)))
+    return F.expr(_reshape(fields, _leaves("e.value")))
 
 
 # The nested lambdas are written as SQL text: building them call by call takes
@@ -90,71 +86,24 @@ def _reshape(fields: str, leaves: str) -> str:
       e -> e.key <> 'raw')"""
 
 
-def _leaves(value: str, max_depth: int, prefix: str = "", depth: int = 1) -> str:
+def _leaves(value: str, depth: int = 1) -> str:
     """Null, when ``value`` is not an object, falls back to the entry itself."""
     e = f"e{depth}"
-    key = f"concat('{_quoted(prefix)}', {e}.key)" if prefix else f"{e}.key"
-    leaf = f"array(struct({key} AS key, {e}.value AS value))"
-    if depth < max_depth:
-        leaf = f"coalesce({_leaves(f'{e}.value', max_depth, prefix, depth + 1)}, {leaf})"
-    return f"flatten(transform(map_entries({_object_of(value)}), {e} -> {leaf}))"
-
-
-def _leaves_in_order(text: str, max_depth: int, depth: int = 1) -> str:
-    """Of equal keys in one object only the last entry is looked into."""
-    e, all_ = f"e{depth}", f"all{depth}"
-    last = f"filter({all_}, (x, i) -> i = size({all_}) - array_position(reverse({all_}.key), x.key))"
-    bound = f"get(transform(array({_texted(text)}), {all_} -> {last}), 0)"
     leaf = f"array(struct({e}.key AS key, {e}.value AS value))"
-    if depth < max_depth:
-        inner = _leaves_in_order(f"{e}.text", max_depth, depth + 1)
-        leaf = f"if({_object_of(f'{e}.value')} IS NULL, {leaf}, {inner})"
-    return f"flatten(transform({bound}, {e} -> {leaf}))"
-
-
-def _texted(text: str) -> str:
-    """Entries of a JSON object in order, each with its value's own text."""
-    typed, plain = (f"from_json({text}, '{t}', {_SQL_OPTIONS})" for t in (_MAP, "map<string,string>"))
-    pair = "(f, t) -> struct(f.key AS key, f.value AS value, t AS text)"
-    return f"zip_with(map_entries({typed}), map_values({plain}), {pair})"
+    if depth < PLAIN_DEPTH:
+        leaf = f"coalesce({_leaves(f'{e}.value', depth + 1)}, {leaf})"
+    return f"flatten(transform(map_entries({_object_of(value)}), {e} -> {leaf}))"
 
 
 def _object_of(value: str) -> str:
     return f"try_variant_get({value}, '$', '{_MAP}')"
 
 
-def _quoted(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
-
-
 def repeats_keys(fields: Column) -> Column:
     """True when two fields have equal keys."""
     return F.size(F.array_distinct(fields["key"])) < F.size(fields)
 
 
-def keep_last(fields: Column) -> Column:
-    """Of fields with equal keys keep the last one.
-
-    (key, place) pairs are sorted, so that the last place of a key is next to
-    another key. ``transform`` over a one-element array binds a value that the inner lambda
-    reads many times.
-    """
-    pairs = F.sort_array(
-        F.transform(fields, lambda e, i: F.struct(e["key"].alias("k"), i.alias("i")))
-    )
-    places = F.transform(
-        F.array(pairs),
-        lambda ps: F.transform(
-            F.filter(
-                ps,
-                lambda p, j: ~F.coalesce(F.get(ps, j + 1)["k"] == p["k"], F.lit(False)),
-            ),
-            lambda p: p["i"],
-        ),
-    )
-    return F.transform(F.sort_array(F.get(places, F.lit(0))), lambda i: F.get(fields, i))
-
-
 def default_raw(raw: Column) -> Column:
     """Raw text, or a dash when the entry has none."""
     return F.when(raw == "", F.lit(EMPTY_RAW)).otherwise(raw)
@@ -165,6 +114,28 @@ def fields_json(fields: Column) -> Column:
     return F.to_json(F.map_from_entries(fields))
 
 
+def slices_json(slices: Column, raw: Column) -> Column:
+    """One JSON object from slices of a body, the severity named, and the raw text."""
+
+    def written(f: Column) -> Column:
+        name = F.concat(F.lit('"'), severity_name(f["value"]), F.lit('"'))
+        value = F.when(f["own"] & (f["key"] == "severity"), name).otherwise(f["value"])
+        return F.concat(F.lit('"'), f["key"], F.lit('":'), value, F.lit(","))
+
+    fields = F.array_join(F.transform(slices, written), "")
+    return F.concat(F.lit("{"), fields, F.lit('"raw":"'), json_escape(raw), F.lit('"}'))
+
+
+def texts(fields: Column) -> Column:
+    """Fields with their values as JSON text, like slices."""
+    return F.transform(
+        fields,
+        lambda f: F.struct(
+            f["key"].alias("key"), F.to_json(f["value"]).alias("value"), F.lit(True).alias("own")
+        ),
+    )
+
+
 def json_escape(text: Column) -> Column:
     """Text as it stands between the quotes of a JSON string."""
     quoted = F.to_json(F.array(text))

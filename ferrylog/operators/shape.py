@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrylog.functions import body
-from ferrylog.schema import MAX_FLATTEN_DEPTH, require_positive
+from ferrylog.functions import body, slices
 
 
 def extract_fields(wire: DataFrame) -> DataFrame:
@@ -42,71 +41,67 @@ def tolerate_bad_object(entries: DataFrame) -> DataFrame:
     ).drop("_parsed")
 
 
+def _parsed(entries: DataFrame) -> DataFrame:
+    """Add ``_parsed`` and ``_plain``; one parse, in a projection of its own."""
+    text = F.col("object")
+    parsed = entries.withColumn("_parsed", body.json_object(text))
+    return parsed.withColumn("_plain", body.is_plain(text, F.col("_parsed")))
+
+
+def _odd_text() -> Column:
+    """The bodies to cut into slices: good ones that are not plain."""
+    return F.when(F.col("_parsed").isNotNull() & ~F.col("_plain"), F.col("object"))
+
+
 def pass_through_fields(entries: DataFrame) -> DataFrame:
-    """One row per untouched body field, its value as JSON text."""
+    """One row per untouched body field, its value the text that the body has."""
     special = ("structured_data", "severity", "raw")
+    plain = body.texts(body.object_fields(F.col("_parsed")))
     return (
-        tolerate_bad_object(entries)
-        .select("id", "stream", F.posexplode("fields").alias("pos", "field"))
+        _parsed(entries)
+        .withColumn("_slices", slices.slices_of(_odd_text(), slices.top_slices))
+        .select("id", "stream", F.explode(F.coalesce("_slices", plain)).alias("field"))
         .filter(~F.col("field.key").isin(*special))
-        .select(
-            "id",
-            "stream",
-            F.col("field.key").alias("key"),
-            F.to_json("field.value").alias("value"),
-        )
+        .select("id", "stream", "field.key", "field.value")
     )
 
 
-def structured_data_fields(
-    entries: DataFrame, max_depth: int = MAX_FLATTEN_DEPTH, prefix: str = ""
-) -> DataFrame:
-    """One row per leaf of the entries' structured data."""
-    require_positive(max_depth=max_depth)
-    value = F.try_element_at(
-        body.json_object(F.col("object")), F.lit("structured_data")
+def structured_data_fields(entries: DataFrame, prefix: str = "") -> DataFrame:
+    """One row per leaf of the entries' structured data, however deep it lies."""
+    parsed = _parsed(entries).withColumn(
+        "_value", F.try_element_at("_parsed", F.lit("structured_data"))
     )
-    leaves = body.flatten_structured_data("_value", max_depth, prefix)
-    nested = entries.select("id", "stream", value.alias("_value"))
-    return nested.select("id", "stream", F.explode(leaves).alias("field")).select(
-        "id",
-        "stream",
-        F.col("field.key").alias("key"),
-        F.to_json("field.value").alias("value"),
+    plain = body.texts(body.flatten_structured_data("_value"))
+    return (
+        parsed.withColumn("_slices", slices.slices_of(_odd_text(), slices.leaf_slices))
+        .select("id", "stream", F.explode(F.coalesce("_slices", plain)).alias("field"))
+        .select("id", "stream", F.concat(F.lit(prefix), "field.key").alias("key"), "field.value")
     )
 
 
-def build_payload(
-    entries: DataFrame, max_depth: int = MAX_FLATTEN_DEPTH, skip_empty: bool = False
-) -> DataFrame:
-    """Add ``line``: ``id \\t stream \\t {json}`` with ``raw`` as last field.
+def build_payload(entries: DataFrame, skip_empty: bool = False) -> DataFrame:
+    """Add ``line``: ``id \t stream \t {json}`` with ``raw`` as last field.
 
     With ``skip_empty`` an entry without a body keeps its row and gets a null
     line, so that a packer can count it without publishing it. Each step is a
-    projection of its own: the next step names its input several times.
+    projection of its own: the next step names its input several times. Only bodies that
+    are not plain, or whose fields come to have equal keys, travel to Python.
     """
-    require_positive(max_depth=max_depth)
-    parsed = entries.withColumn(
-        "_fields", body.object_fields(body.json_object(F.col("object")))
-    )
-    named = parsed.withColumn("_fields", body.reshape_fields("_fields", max_depth))
-    fields = F.col("_fields")
-    in_order = body.reshape_in_order("object", max_depth)
-    unique = named.withColumn(
-        "_fields", F.when(body.repeats_keys(fields), in_order).otherwise(fields)
-    ).withColumn(
-        "_fields", F.when(body.repeats_keys(fields), body.keep_last(fields)).otherwise(fields)
+    named = _parsed(entries).withColumn("_fields", body.object_fields(F.col("_parsed")))
+    named = named.withColumn("_fields", body.reshape_fields("_fields"))
+    plain = F.col("_plain") & ~body.repeats_keys(F.col("_fields"))
+    odd = named.withColumn("_plain", plain).withColumn(
+        "_slices", slices.slices_of(_odd_text(), slices.body_slices)
     )
-    raw = body.field(F.lit("raw"), body.default_raw(F.col("raw")).cast("variant"))
-    line = F.concat_ws(
-        "\t",
-        "id",
-        "stream",
-        body.fields_json(F.concat(F.col("_fields"), F.array(raw))),
+    raw = body.default_raw(F.col("raw"))
+    fields = F.concat("_fields", F.array(body.field(F.lit("raw"), raw.cast("variant"))))
+    written = F.when(F.isnull("_slices"), body.fields_json(fields)).otherwise(
+        body.slices_json(F.col("_slices"), raw)
     )
+    line = F.concat_ws("\t", "id", "stream", written)
     if skip_empty:
         line = F.when(has_body(), line)
-    return unique.withColumn("line", line).drop("_fields")
+    return odd.withColumn("line", line).drop("_parsed", "_plain", "_fields", "_slices")
 
 
 def parse_lines(lines: DataFrame, col: str = "line") -> DataFrame:

@@ -91,7 +91,6 @@ ACK_SHARDS = 50
 MAX_DECOMPRESS_BYTES = 256 * 1024 * 1024
 #: Lines go on in a new envelope from here on; one line may come on top.
 MAX_ENVELOPE_BYTES = MAX_DECOMPRESS_BYTES // 4
-MAX_FLATTEN_DEPTH = 8
 
 # Syslog severity names in the order of their codes 0 to 7.
 SEVERITY_NAMES = (

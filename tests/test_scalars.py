@@ -127,17 +127,46 @@ def test_repeated_keys_appear_once_in_the_text(entries_of):
     assert line.count('"a"') == 1 and line.count('"b"') == 1
 
 
-def test_depth_limit_keeps_the_rest_as_one_value(entries_of):
-    nested = '{"structured_data":{"a":{"b":{"c":{"d":1}}}}}'
-    df = entries_of([("1-0", "s", nested, "r")])
-    at = {
-        depth: {r.key: json.loads(r.value) for r in shape.structured_data_fields(df, depth).collect()}
-        for depth in (1, 2, 4)
-    }
-    assert at == {1: {"a": {"b": {"c": {"d": 1}}}}, 2: {"b": {"c": {"d": 1}}}, 4: {"d": 1}}
+@pytest.mark.parametrize("depth", [1, 3, 4, 5, 6, 50, 400])
+def test_flattening_has_no_depth(entries_of, depth):
+    nested = '{"n":' * depth + '{"d":1.10,"e":{}}' + "}" * depth
+    df = entries_of([("1-0", "s", f'{{"structured_data":{nested}}}', "r")])
+    assert [(r.key, r.value) for r in shape.structured_data_fields(df).collect()] == [("d", "1.10")]
     assert shape.structured_data_fields(df, prefix="sd_").first().key == "sd_d"
-    with pytest.raises(ValueError):
-        shape.build_payload(df, max_depth=0)
+    assert shape.build_payload(df).first().line == '1-0\ts\t{"d":1.10,"raw":"r"}'
+
+
+#: Values that a parser would write in another way.
+VERBATIM = [
+    "1.10", "-0.0", "1E5", "1e400", "9" * 42, "0.1" + "0" * 30, "[1.0,  2]", '{"z":1,"a":[ ]}',
+    '"caf\\u00e9\\/"', "007", '{"k":{"b":1,"a":{"c":2.50}}}', "null",
+]
+
+
+@pytest.mark.parametrize("sep", [":", " : "])
+def test_values_pass_verbatim(entries_of, sep):
+    rows = [(f"{k}-0", "s", f'{{"a"{sep}{v},"severity"{sep}3}}', "r") for k, v in enumerate(VERBATIM)]
+    df = entries_of(rows)
+    lines = {r.id: r.line for r in shape.build_payload(df).collect()}
+    values = {r.id: r.value for r in shape.pass_through_fields(df).collect()}
+    for k, v in enumerate(VERBATIM):
+        assert values[f"{k}-0"] == v
+        assert lines[f"{k}-0"] == f'{k}-0\ts\t{{"a":{v},"severity":"ERROR","raw":"r"}}'
+
+
+def test_odd_spellings(entries_of):
+    bodies = {
+        "{'a':1}": '{"raw":"r"}',
+        '{"sever\\u0069ty":1.0,"x":2}': '{"sever\\u0069ty":1.0,"x":2,"raw":"r"}',
+        '{"severity": "3"}': '{"severity":"INFO","raw":"r"}',
+        '{"severity": 3.0, "r\\u0061w": 1}': '{"severity":"INFO","raw":"r"}',
+        '{"a":[\n1],"structured_data": [{"b":1}]}': '{"a":[ 1],"raw":"r"}',
+        '{"":1.0,"structured_data":{"":{"":2.0}}}': '{"":2.0,"raw":"r"}',
+        '{"a":"]}{[\\"","b":1.0}': '{"a":"]}{[\\"","b":1.0,"raw":"r"}',
+    }
+    df = entries_of([(f"{k}-0", "s", o, "r") for k, o in enumerate(bodies)])
+    got = {r.object: r.line.split("\t")[2] for r in shape.build_payload(df).collect()}
+    assert got == bodies
 
 
 def test_object_ok_and_other_fields(entries_of):
@@ -153,17 +182,10 @@ def test_object_ok_and_other_fields(entries_of):
     assert [(r.key, r.value) for r in shape.pass_through_fields(df).collect()] == [("a", '{"b":1}')]
 
 
-ESCAPES = {
-    "hello-world": "hello-world",
-    "": "",
-    'say "hello"': 'say \\"hello\\"',
-    "path\\to\\file": "path\\\\to\\\\file",
-    'a"b\\c': 'a\\"b\\\\c',
-    "line1\nline2": "line1\\nline2",
-    "col1\tcol2": "col1\\tcol2",
-    "text\rmore": "text\\rmore",
-    "hello\x01world": "hello\\u0001world",
-}
+#: Every character with a short escape, other control characters, and some to leave alone.
+ESCAPES = {c + "~" + c: e + "~" + e for c, e in zip('"\\\b\f\n\r\t', [r"\"", r"\\", r"\b", r"\f", r"\n", r"\r", r"\t"])}
+ESCAPES |= {chr(n): f"\\u{n:04X}" for n in (0, 2, 11, 14, 31)}
+ESCAPES |= {t: t for t in ("", "/", "{'}", "ß漢😀", "\x7f")}
 
 
 def test_json_escape(spark):
@@ -248,9 +270,9 @@ def test_ack_fields(spark):
         '{"ids":["a"],"stream":"s"}': (["a"], "s", False, None),
         '{"ids":["a"],"stream":"s","ack":"true"}': (["a"], "s", False, None),
         '{"ids":["a"],"stream":"s","ack":false,"ack":true}': (["a"], "s", True, None),
-        "invalid json": (None, None, False, ackjson.REJECT_MALFORMED),
+        "ids=a": (None, None, False, ackjson.REJECT_MALFORMED),
         "": (None, None, False, ackjson.REJECT_MALFORMED),
-        '{"ids":["a"],"stream":"s"': (None, None, False, ackjson.REJECT_MALFORMED),
+        '{"ids":["a"],"stream":"s",': (None, None, False, ackjson.REJECT_MALFORMED),
         "[]": (None, None, False, ackjson.REJECT_MALFORMED),
         '{"ack":true}': (None, None, True, ackjson.REJECT_IDS),
         "{}": (None, None, False, ackjson.REJECT_IDS),
