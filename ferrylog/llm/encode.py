@@ -15,12 +15,18 @@ from itertools import accumulate
 
 import numpy as np
 
-#: Pieces remembered per worker before the memory starts anew.
-MEMORY_PIECES = 400_000
+#: Pieces of a generation of a worker's memory; one batch may come on top.
+MEMORY_PIECES = 200_000
 #: Longer pieces are not remembered.
 PIECE_CHARS = 100
 #: New pieces handed to the library as one text.
 GROUP = 50
+#: What is known of a piece that has to go to the library each time.
+ASK = False
+#: White space of any of the libraries, and the word-start mark.
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680])) + (
+    "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000▁"
+)
 
 
 def _blank(char: str) -> bool:
@@ -30,7 +36,7 @@ def _blank(char: str) -> bool:
 
 def regular(piece: str) -> bool:
     """Whether the blanks around this piece are places to cut at."""
-    return piece != "" and not _blank(piece[0]) and not _blank(piece[-1])
+    return piece != "" and piece.strip(BLANKS) == piece
 
 
 def chunks(text: str) -> list[str]:
@@ -49,23 +55,42 @@ def chunks(text: str) -> list[str]:
 
 
 class _Memory:
-    """Answers for pieces that stand behind a cut blank."""
+    """Answers for pieces that stand behind a cut blank, in two generations.
+
+    When the newer one is full it becomes the older one, so what is used often stays.
+    """
 
     def __init__(self) -> None:
         self.known: dict = {}
-
-    def learn(self, parts: list[list[str]]) -> None:
-        new = set().union(*parts).difference(self.known) if parts else set()
-        if len(self.known) + len(new) > MEMORY_PIECES:
-            self.known.clear()
-            new = set().union(*parts)
+        self.old: dict = {}
+
+    def look_up(self, parts: list[list[str]]) -> list[list]:
+        """What is known of all pieces; new ones are learned first."""
+        if len(self.known) > MEMORY_PIECES:
+            self.known, self.old = {}, self.known
+        get = self.known.get
+        found = [list(map(get, part)) for part in parts]
+        gaps = [
+            (answers, [k for k, x in enumerate(answers) if x is None], part)
+            for answers, part in zip(found, parts, strict=True)
+            if None in answers
+        ]
+        self.learn({part[k] for _, at, part in gaps for k in at})
+        for answers, at, part in gaps:
+            for k in at:
+                answers[k] = self.known[part[k]]
+        return found
+
+    def learn(self, new: set[str]) -> None:
+        """Take over what the older generation knows, and ask the library for the rest."""
+        back = {p: self.old[p] for p in new if p in self.old} if self.old else {}
+        self.known |= back
         plain = []
-        for piece in new:
-            if len(piece) <= PIECE_CHARS and regular(piece):
+        for piece in new.difference(back) if back else new:
+            if len(piece) <= PIECE_CHARS and piece and piece.strip(BLANKS) == piece:
                 plain.append(piece)
             else:
-                self.known[piece] = None
-        plain.sort()
+                self.known[piece] = ASK
         for k in range(0, len(plain), GROUP * 200):
             self.ask(plain[k : k + GROUP * 200])
 
@@ -114,31 +139,28 @@ class ByteBpe(_Memory):
         return self.library([" " + " ".join(g) for g in groups])
 
     def remember(self, group: list[str], ids: np.ndarray, at: np.ndarray) -> None:
-        raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
-        for piece, a, b in zip(group, at.tolist(), ends, strict=True):
-            self.known[piece] = raw[4 * a : 4 * b]
+        raw, begins = ids.tobytes(), (4 * at).tolist()
+        ends = [*begins[1:], len(raw)]
+        self.known.update(zip(group, [raw[a:b] for a, b in zip(begins, ends, strict=True)], strict=True))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, exactly as the library gives them for the whole text."""
         if not self.cuts:
             return self.library(texts)
         parts = [t.split(" ") for t in texts]
-        self.learn([p[1:] for p in parts])
+        heads = iter(self.library([p[0] for p in parts]))
         out = []
-        for text, part in zip(texts, parts, strict=True):
-            try:
-                raw = b"".join(map(self.known.__getitem__, part[1:]))
-            except TypeError:
-                out.append(self.by_chunks(text))
-                continue
-            head = self.library([part[0]])[0].tobytes() if part[0] else b""
-            out.append(np.frombuffer(head + raw, "<u4"))
+        for text, found in zip(texts, self.look_up([p[1:] for p in parts]), strict=True):
+            head = next(heads).tobytes()
+            out.append(
+                self.by_chunks(text) if ASK in found else np.frombuffer(b"".join([head, *found]), "<u4")
+            )
         return out
 
     def by_chunks(self, text: str) -> np.ndarray:
         parts = chunks(text)
         have = [None] + [self.known.get(p) for p in parts[1:]]
-        asked = [k for k, x in enumerate(have) if x is None]
+        asked = [k for k, x in enumerate(have) if not x]
         found = self.library([(" " if k else "") + parts[k] for k in asked])
         for k, ids in zip(asked, found, strict=True):
             have[k] = ids.tobytes()
@@ -215,22 +237,18 @@ class PieceBpe(_Memory):
         if not self.cuts:
             return [len(x) for x in self.library(texts)]
         parts = [t.split(" ") for t in texts]
-        self.learn(parts)
-        out = []
-        for text, part in zip(texts, parts, strict=True):
-            try:
-                out.append(sum(map(self.known.__getitem__, part)))
-            except TypeError:
-                out.append(self.by_chunks(text))
-        return out
+        return [
+            self.by_chunks(text) if 0 in found else sum(found)
+            for text, found in zip(texts, self.look_up(parts), strict=True)
+        ]
 
     def by_chunks(self, text: str) -> int:
         if not text:
             return 0
         parts = chunks(text)
         have = [self.known.get(p) for p in parts]
-        rest = [p for p, n in zip(parts, have, strict=True) if n is None]
-        return sum(n for n in have if n is not None) + sum(len(x) for x in self.library(rest))
+        rest = [p for p, n in zip(parts, have, strict=True) if not n]
+        return sum(n for n in have if n) + sum(len(x) for x in self.library(rest))
 
 
 def block_starts(sizes: list[int]) -> list[int]:
