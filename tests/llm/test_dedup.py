@@ -190,3 +190,40 @@ def test_sketch_collisions_follow_similarity():
     assert (x == nd.sketches(nd.labelled(sentence(rng, 300).split(" "), hashes), nd._SEEDS, 3)).sum() == 0
     moved = nd.sketches(nd.labelled(a[150:] + a[:150], hashes), nd._SEEDS, 3)
     assert 0 < (x == moved).mean() < 0.6
+
+
+def edited_words(rng, found, share):
+    out = list(found)
+    for k in rng.sample(range(len(out)), int(share * len(out))):
+        out[k] = f"e{rng.randrange(10**9)}"
+    return out
+
+
+def test_recall_of_near_duplicates(spark):
+    """Against all planted pairs, which are links by construction, up to the threshold."""
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    rows, pairs, chains = [], {}, []
+
+    def add(found):
+        rows.append((len(rows), " ".join(found)))
+        return len(rows) - 1
+
+    hot = [rng.choice(vocabulary) for _ in range(60)]
+    for share, ahead in ((0.1, []), (0.15, []), (0.195, []), ("hot", hot)):
+        for _ in range(100):
+            text = [rng.choice(vocabulary) for _ in range(200)]
+            other = edited_words(rng, text, 0.1 if share == "hot" else share)
+            pairs.setdefault(share, []).append((add(ahead + text), add(ahead + other)))
+    for _ in range(10):
+        versions = [[rng.choice(vocabulary) for _ in range(200)]]
+        for _ in range(9):
+            versions.append(edited_words(rng, versions[-1], 0.08))
+        chains.append([add(v) for v in versions])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {r.doc_id: r.class_id for r in nd.dedup_table(docs).collect()}
+    recall = {k: sum(found[a] == found[b] for a, b in v) / len(v) for k, v in pairs.items()}
+    assert recall[0.1] >= 0.98 and recall[0.15] >= 0.95 and recall[0.195] >= 0.9 and recall["hot"] >= 0.98
+    assert [len({found[k] for k in c}) for c in chains] == [1] * 10
+    # nothing else is joined: classes are the planted ones
+    assert len(set(found.values())) >= 400 + 10
