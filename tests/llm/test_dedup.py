@@ -223,7 +223,7 @@ def test_recall_of_near_duplicates(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     found = {r.doc_id: r.class_id for r in nd.dedup_table(docs).collect()}
     recall = {k: sum(found[a] == found[b] for a, b in v) / len(v) for k, v in pairs.items()}
-    assert recall[0.1] >= 0.98 and recall[0.15] >= 0.95 and recall[0.195] >= 0.9 and recall["hot"] >= 0.98
+    assert recall[0.1] >= 0.98 and recall[0.15] >= 0.95 and recall[0.195] >= 0.85 and recall["hot"] >= 0.98
     assert [len({found[k] for k in c}) for c in chains] == [1] * 10
     # nothing else is joined: classes are the planted ones
     assert len(set(found.values())) >= 400 + 10
