@@ -6,16 +6,20 @@ selects: of the ``GRAM``-byte grams in it the one with the least hash. Only the
 suffixes at selected places, about one in seventy, are indexed, sorted by the hash
 of their gram; equal strings select the same place, so no match is missed.
 
-New batches get a sorted index each. It is scanned against the levels that exist,
-and suffixes that share a gram with another one are kept as candidates, on
-both sides. Levels of equal size are merged before the next batch, so there
-are logarithmically many and every suffix is rewritten as often.
+New batches get a sorted index each: rows in buckets by the hash, in its order within a
+bucket, so that scans and merges of levels move no rows between tasks. The new index is
+merge-joined with every level that exists, and suffixes that share a gram with another
+one are kept as candidates, on both sides. Levels of equal size are merged before
+the next batch, so there are logarithmically many and every suffix is rewritten
+as often. A table that is there as a whole comes in ``BATCHES`` parts: batches of a
+fixed size would scan the levels once for each, which grows with the square of the input.
 
 A candidate stands for a run of neighbouring strings. If the stretch of text that
 the run covers also occurs elsewhere as a whole, all its strings do. Otherwise the
 strings are compared one by one with those of the other candidates of the gram:
 groups of up to ``SMALL`` in memory, larger ones by counting digests of blocks of
-strings and then of strings, so that no group has to fit anywhere. Digests are 128 bits, text keys 64 bits.
+strings and then of strings, so that no group has to fit anywhere. Digests and text keys
+are 128 bits.
 
 Matches never cross texts. Null texts count as empty; texts under ``LENGTH``
 bytes lose nothing; equal texts lose everything from ``LENGTH`` bytes on, and are
@@ -32,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrylog.llm.common import text_of
@@ -43,13 +47,14 @@ GRAM = 32
 SMALL = 64
 #: Neighbouring strings that large groups compare at once.
 BLOCK = 16
-BATCHES = 2
+#: The third batch finds two levels of equal size, which merge.
+BATCHES = 3
 
 _U64 = np.uint64
 _BYTES = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * _U64(2) + _U64(1)
 _A, _B = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F)
 
-ANCHORS = "h long, z long, dk long, pos int"
+ANCHORS = "h long, z long, dk binary, pos int"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -106,6 +111,23 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
+def _bucketed(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """``rows`` stored in buckets by ``key``; joins and groupings by it move nothing."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"buckets_{uuid.uuid4().hex}"
+    writer = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*order or (key,))
+    writer.option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    stored = spark.table(name)
+    stored.schema  # resolved before the name goes; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def _key() -> Column:
+    return F.unhex(F.md5(text_of()))
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """(dk, copies, raw): distinct texts, compressed, stored by their key."""
 
@@ -117,18 +139,13 @@ def _packed(docs: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(raws, pa.binary())], names=["dk", "raw"]
             )
 
-    spark = docs.sparkSession
-    rows = docs.select(F.xxhash64(text_of()).alias("dk"), text_of().alias("text"))
+    rows = docs.select(_key().alias("dk"), text_of().alias("text"))
     distinct = (
-        rows.mapInArrow(pack, "dk long, raw binary")
+        rows.mapInArrow(pack, "dk binary, raw binary")
         .groupBy("dk")
         .agg(F.count(F.lit(1)).alias("copies"), F.first("raw").alias("raw"))
     )
-    name = f"texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "texts")
-    distinct.write.bucketBy(buckets, "dk").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return _bucketed(distinct, "dk")
 
 
 def anchors(texts: DataFrame) -> DataFrame:
@@ -160,25 +177,26 @@ class SuffixIndex:
             (n, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((2 * n, self._stored(a.union(b))))
         new = self._stored(suffixes)
-        every = new.withColumn("new", F.lit(True))
-        for _, level in self.levels:
-            every = every.union(level.withColumn("new", F.lit(False)))
+        own = new.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        met = new.join(own.filter("n > 1").select("h", F.lit(True).alias("own")), "h", "left")
+        hits, old = F.col("own"), []
+        for k, (_, level) in enumerate(self.levels):
+            theirs = level.select("h").distinct().withColumn(f"level{k}", F.lit(True))
+            met, hits = met.join(theirs, "h", "left"), hits | F.col(f"level{k}")
+            old.append(level.join(own.select("h"), "h", "left_semi"))
         self.levels.append((1, new))
-        shared = (
-            every.groupBy("h")
-            .agg(F.count(F.lit(1)).alias("n"), F.bool_or("new").alias("any_new"))
-            .filter("n > 1 AND any_new")
-            .select("h")
-        )
-        return every.drop("new").join(shared, "h")
+        found = met.filter(hits).select(new.columns)
+        for rows in old:
+            found = found.union(rows.select(new.columns))
+        return found
 
     @staticmethod
     def _stored(suffixes: DataFrame) -> DataFrame:
-        return written(suffixes.sortWithinPartitions("h", "z"), "suffixes")
+        return _bucketed(suffixes, "h", "h", "z")
 
 
-FINE = "h long, z long, dk long, pos int, first int, size long, stretch binary"
-RUNS = "dk long, pos int, first int, last int"
+FINE = "h long, z long, dk binary, pos int, first int, size long, stretch binary"
+RUNS = "dk binary, pos int, first int, last int"
 
 
 def _stretches(texts: DataFrame, open_: DataFrame) -> DataFrame:
@@ -275,7 +293,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def _counted_strings(rows: DataFrame) -> DataFrame:
     """Strings that two candidates of a group of any size share, by counting digests."""
-    schema = "w binary, dk long, pos int, start int"
+    schema = "w binary, dk binary, pos int, start int"
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,7 +338,7 @@ def repeated_runs(texts: DataFrame, batches: int = BATCHES) -> tuple[DataFrame,
     """(dk, pos, z) of places all of whose strings repeat, and (dk, pos, first, last) of others."""
     index, found = SuffixIndex(), None
     for k in range(batches):
-        part = texts if batches == 1 else texts.filter(F.pmod(F.col("dk"), F.lit(batches)) == k)
+        part = texts if batches == 1 else texts.filter(F.pmod(F.xxhash64("dk"), F.lit(batches)) == k)
         hits = written(index.add(anchors(part)), "hits")
         found = hits if found is None else found.union(hits)
     if batches > 1:
@@ -341,7 +359,7 @@ def repeated_runs(texts: DataFrame, batches: int = BATCHES) -> tuple[DataFrame,
     return whole, runs
 
 
-CUT = "dk long, n_bytes long, n_removed long, n_spans long, kept binary"
+CUT = "dk binary, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def cut_texts(texts: DataFrame, whole: DataFrame, runs: DataFrame) -> DataFrame:
@@ -388,5 +406,5 @@ def removal_table(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     texts = _packed(docs)
     left = cut_texts(texts, *repeated_runs(texts, batches))
     digests = left.select("dk", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("dk"))
+    rows = docs.select("doc_id", _key().alias("dk"))
     return rows.join(written(digests, "digests"), "dk").drop("dk")

@@ -112,7 +112,7 @@ def test_removal(spark, monkeypatch, empty):
     texts += [f"{k} {passage[: 200 + k % 41]} {k}" for k in range(80)]
     docs = spark.createDataFrame([(k, t, "", "", 0) for k, t in enumerate(texts)], SCHEMA)
     want = plain_removal(texts)
-    for small, batches in ((64, 2), (2, 1), (4, 5)):
+    for small, batches in ((64, sd.BATCHES), (64, 2), (2, 1), (4, 5)):
         monkeypatch.setattr(sd, "SMALL", small)
         found = sd.removal_table(docs, batches).orderBy("doc_id").collect()
         assert [tuple(r)[1:] for r in found] == want
@@ -122,7 +122,7 @@ def test_removal(spark, monkeypatch, empty):
 def test_levels_merge_geometrically(spark):
     index = sd.SuffixIndex()
     for k in range(6):
-        rows = [(h, h * 7, k, h) for h in range(k * 3, k * 3 + 5)]
+        rows = [(h, h * 7, bytes([k] * 16), h) for h in range(k * 3, k * 3 + 5)]
         hits = index.add(spark.createDataFrame(rows, sd.ANCHORS))
         assert {r.h for r in hits.collect()} == ({k * 3, k * 3 + 1} if k else set())
         assert sum(n for n, _ in index.levels) == k + 1
