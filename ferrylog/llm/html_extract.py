@@ -1,13 +1,17 @@
 """Main text of web pages, from templates deduced per host.
 
-Tokens of a page are its element paths and, outside articles, its text blocks.
-Tokens of one host with the same occurrence vector, the same number of times on
-the same pages, form an equivalence class. Classes on at least half of the host's
-pages are the template; they nest by their paths. What the template repeats is
-not content: its text blocks are dropped, and of its element paths the slot with
-the main text is the innermost one that holds most of the changing text. Pages are
-extracted with their host's template; where a page marks its article itself, that
-is the slot.
+Tokens of a page are its element paths and its text blocks, inside articles and
+outside. Tokens of one host with the same occurrence vector, the same number of
+times on the same distinct pages, form an equivalence class. A class is valid if its
+tokens first occur in one order on every page that has them. Valid classes nest by their
+elements: the text blocks of a valid class belong to the template if half of the host's
+pages that have their element show them, so a host may have several templates, each on a
+quarter of its pages or more. Hosts under ``MIN_PAGES`` distinct pages show no template.
+
+What the template repeats is no content and is dropped, in articles, too; a page of
+which nothing would be left is not made from the template and keeps its blocks. The
+slot with the main text is the page's own article, else the innermost
+element on half of the pages that holds most of the changing text.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by element, role, class or id. Character references
@@ -19,9 +23,9 @@ without text have an empty text; equal rows stay as they are.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -64,6 +68,16 @@ NAMES = frozenset(
     " subscription share sharing social related recommended widget toolbar pagination pager login signup"
     " masthead topbar".split()
 )
+#: Distinct pages that show a template, of a host and of a text block.
+MIN_PAGES = 4
+
+
+def _digest(above: int, name: str, is_text: bool = False) -> int:
+    """Digest of an element path or a text block, from that of the path above it."""
+    return xxhash.xxh3_64_intdigest(f"{above}{'#' if is_text else '/'}{name}") - (1 << 63)
+
+
+ROOT = _digest(0, "")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -93,19 +107,32 @@ def _aside(tag: str, raw: str, in_article: bool) -> bool:
     return bool(names & NAMES) or ("header" in names and not in_article and tag == "div")
 
 
+class Node(NamedTuple):
+    """A distinct element path of a page: its digest, tag, depth and its parent's number."""
+
+    digest: int
+    tag: str
+    depth: int
+    parent: int
+
+
 class Page:
     """Element paths with their counts, and text blocks in page order.
 
-    A block is (path, inside an article, text).
+    A block is (number of its path, inside an article, text). Numbers grow downwards.
     """
 
     def __init__(self, html: str) -> None:
-        self.paths: Counter[str] = Counter()
-        self.blocks: list[tuple[str, bool, str]] = []
+        self.nodes = [Node(ROOT, "", 0, -1)]
+        self.numbers: dict[int, int] = {ROOT: 0}
+        self.counts = [1]
+        #: The blocks ahead of each path's first element.
+        self.firsts = [0]
+        self.blocks: list[tuple[int, bool, str]] = []
         #: (tag, path, aside, in article)
-        self.stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
         self.parts: list[str] = []
-        self.place = ("", False, False)
+        self.place = (0, False, False)
         at = 0
         while True:
             m = TAG.search(html, at)
@@ -161,11 +188,20 @@ class Page:
             return
         _, path, aside, article = self.stack[-1]
         if tag in BLOCK:
-            path = f"{path}/{tag}"
-            self.paths[path] += 1
+            path = self._node(path, tag)
         aside = aside or _aside(tag, raw, article)
         self.stack.append((tag, path, aside, article or (tag in ARTICLE and not aside)))
 
+    def _node(self, parent: int, tag: str) -> int:
+        digest = _digest(self.nodes[parent].digest, tag)
+        number = self.numbers.setdefault(digest, len(self.nodes))
+        if number == len(self.nodes):
+            self.nodes.append(Node(digest, tag, self.nodes[parent].depth + 1, parent))
+            self.counts.append(0)
+            self.firsts.append(len(self.blocks))
+        self.counts[number] += 1
+        return number
+
     def _end(self, tag: str) -> None:
         """Close an open element of this kind unless a container is in between."""
         for k in range(len(self.stack) - 1, 0, -1):
@@ -184,116 +220,153 @@ class Page:
                 self.stack.pop()
             self.stack.pop()
 
+    def within(self, digest: int) -> list[bool]:
+        """Whether each path is the one with this digest or below it."""
+        out: list[bool] = []
+        for node in self.nodes:
+            out.append(node.digest == digest or (node.parent >= 0 and out[node.parent]))
+        return out
+
     @property
     def has_article(self) -> bool:
         return any(article for _, article, _ in self.blocks)
 
 
-def _digest(path: str, text: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{path}\n{text}") - (1 << 63)
-
-
-def content(html: str, slot: str | None, repeated: frozenset[int] | set[int]) -> str:
+def content(html: str, slot: int | None, repeated: frozenset[int] | set[int]) -> str:
     """The page's text by its host's template."""
     page = Page(html)
     if page.has_article:
-        own = [text for _, article, text in page.blocks if article]
+        inside = [(path, text) for path, article, text in page.blocks if article]
     else:
-        inside = [
-            (path, text)
-            for path, _, text in page.blocks
-            if not slot or path == slot or path.startswith(slot + "/")
-        ] or [(path, text) for path, _, text in page.blocks]
-        own = [text for path, text in inside if _digest(path, text) not in repeated]
-    return "\n\n".join(own)
+        below = page.within(ROOT if slot is None else slot)
+        blocks = [(path, text) for path, _, text in page.blocks]
+        inside = [b for b in blocks if below[b[0]]] or blocks
+    own = inside
+    if repeated:
+        own = [(p, t) for p, t in inside if _digest(page.nodes[p].digest, t, True) not in repeated]
+    return "\n\n".join(text for _, text in own or inside)
 
 
-TOKENS = "host string, token long, path string, is_text boolean, page long, n long, chars long"
+TOKENS = (
+    "host string, page long, token long, parent long, tag string, depth int, n long, first long, chars long"
+)
+
+
+def _page_tokens(html: str) -> list[tuple]:
+    """(token, parent, tag, depth, n, first, chars) of a page; text blocks have no tag."""
+    page = Page(html)
+    chars = [0] * len(page.nodes)
+    texts: dict[tuple[int, str], list[int]] = {}
+    for k, (path, _, text) in enumerate(page.blocks):
+        chars[path] += len(text)
+        texts.setdefault((path, text), [0, k])[0] += 1
+    for k in range(len(page.nodes) - 1, 0, -1):
+        chars[page.nodes[k].parent] += chars[k]
+    rows = []
+    for k, (digest, tag, depth, parent) in enumerate(page.nodes):
+        above = page.nodes[max(parent, 0)].digest
+        rows.append((digest, above, tag, depth, page.counts[k], 2 * page.firsts[k], chars[k]))
+    for (path, text), (n, first) in texts.items():
+        node = page.nodes[path]
+        rows.append((_digest(node.digest, text, True), node.digest, None, node.depth, n, 2 * first + 1, n * len(text)))
+    return rows
 
 
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of every page with their number of times; ``pages`` has host, page and html."""
+    """Tokens of every distinct page; ``pages`` has host, page and html."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        long, string = pa.int64(), pa.string()
+        kinds = [string, long, long, long, string, pa.int32(), long, long, long]
         for batch in batches:
             rows = []
             for host, number, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                page = Page(html)
-                chars: Counter[str] = Counter()
-                texts: Counter[tuple[str, str]] = Counter()
-                for path, article, text in page.blocks:
-                    up = path
-                    while up:
-                        chars[up] += len(text)
-                        up = up.rpartition("/")[0]
-                    if not article:
-                        texts[path, text] += 1
-                rows.append((host, _digest("", ""), "", False, number, 1, 0))
-                rows += [
-                    (host, _digest(p, ""), p, False, number, n, chars[p])
-                    for p, n in page.paths.items()
-                ]
-                rows += [
-                    (host, _digest(p, t), p, True, number, n, n * len(t))
-                    for (p, t), n in texts.items()
-                ]
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_(), *[pa.int64()] * 3]
-            columns = zip(*rows, strict=True) if rows else [[]] * 7
+                rows += [(host, number, *token) for token in _page_tokens(html)]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                names=["host", "token", "path", "is_text", "page", "n", "chars"],
+                names=[field.split()[0] for field in TOKENS.split(", ")],
             )
 
-    return pages.mapInArrow(tokens, TOKENS)
+    # equal rows are one page
+    values = [F.max(c).alias(c) for c in ("parent", "tag", "depth", "n", "first", "chars")]
+    return pages.mapInArrow(tokens, TOKENS).groupBy("host", "page", "token").agg(*values)
+
+
+def classes(pages: DataFrame) -> DataFrame:
+    """The tokens on an eighth of their host's pages or more, with their classes.
+
+    (host, token, parent, tag, depth, chars, pages, support, vector, valid); ``pages``
+    has host, page and html. Tokens of equal ``vector`` are a class.
+    """
+    seen = written(_tokens(pages), "tokens")
+    sizes = seen.filter(F.col("token") == ROOT).groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # a host's rare texts can't be part of its template and may be many
+    common = (
+        seen.groupBy("host", "token")
+        .agg(
+            *(F.max(c).alias(c) for c in ("parent", "tag", "depth")),
+            F.sum("chars").alias("chars"),
+            F.count(F.lit(1)).alias("support"),
+            F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+        )
+        .join(sizes, "host")
+        .filter("8 * support >= pages")
+    )
+    common = written(common, "classes")
+    order = F.array_sort(F.collect_list(F.struct("first", "depth", "token")))
+    ordered = (
+        seen.select("host", "token", "page", "first", "depth")
+        .join(common.select("host", "token", "vector"), ["host", "token"])
+        .groupBy("host", "vector", "page")
+        .agg(F.xxhash64(F.transform(order, lambda x: x["token"])).alias("order"))
+        .groupBy("host", "vector")
+        .agg((F.min("order") == F.max("order")).alias("valid"))
+    )
+    return common.join(ordered, ["host", "vector"])
 
 
-def deduce(rows: pd.DataFrame) -> tuple[str | None, list[int]]:
-    """(slot, repeated text blocks) from a host's tokens: path, is_text, vector, support, chars."""
-    pages = int(rows.support.max())
-    classes = defaultdict(list)
+def deduce(rows: pd.DataFrame) -> tuple[int | None, list[int]]:
+    """(slot, repeated text blocks) from the classes of a host's tokens."""
+    pages = int(rows.pages.iloc[0])
+    paths = {int(r.token): r for r in rows.itertuples() if r.tag is not None}
+    order = sorted(paths, key=lambda t: (paths[t].depth, t))
+    repeated, fixed = [], dict.fromkeys(order, 0)
     for r in rows.itertuples():
-        if 2 * r.support >= pages and (r.support > 1 or pages == 1):
-            classes[r.vector].append(r)
-    members = [r for group in classes.values() for r in group]
-    repeated = [int(r.token) for r in members if r.is_text and pages >= 3]
-    fixed = Counter()
-    for r in members:
-        if r.is_text and pages >= 3:
-            up = r.path
-            while up:
-                fixed[up] += int(r.chars)
-                up = up.rpartition("/")[0]
-    changing = {
-        r.path: int(r.chars) - fixed[r.path] for r in members if not r.is_text and r.path
-    }
-    whole = max(changing.values(), default=0)
-    slot = None
-    for path in sorted(changing, key=lambda p: (p.count("/"), p)):
-        leaf = path.rpartition("/")[2]
-        nested = slot is None or path.startswith(slot + "/")
-        if nested and 4 * changing[path] >= 3 * whole > 0 and leaf not in ("p", "li", "ul", "tr", "td"):
-            slot = path
-    return slot, repeated
+        if r.tag is not None or not r.valid or pages < MIN_PAGES or r.support < MIN_PAGES:
+            continue
+        around = paths[int(r.parent)]
+        if 4 * around.support >= pages and 2 * r.support >= around.support:
+            repeated.append(int(r.token))
+            fixed[int(r.parent)] += int(r.chars)
+    for t in reversed(order[1:]):
+        fixed[int(paths[t].parent)] += fixed[t]
+    changing = {t: int(paths[t].chars) - fixed[t] for t in order}
+    whole = max((changing[t] for t in order[1:]), default=0)
+    slot, inside = None, set()
+    for t in order[1:]:
+        r = paths[t]
+        if slot is not None and int(r.parent) in inside:
+            inside.add(t)
+        if 2 * r.support < pages or (slot is not None and t not in inside):
+            continue
+        if 4 * changing[t] >= 3 * whole > 0 and r.tag not in ("p", "li", "ul", "tr", "td"):
+            slot, inside = t, {t}
+    return slot, sorted(repeated)
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, slot, repeated) of every host; ``pages`` has host, page and html."""
-    tokens = _tokens(pages).groupBy("host", "token", "path", "is_text").agg(
-        F.count(F.lit(1)).alias("support"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
-        F.sum("chars").alias("chars"),
-    )
-    # a host's rare texts can't be part of its template and may be many
-    counted = written(tokens, "tokens")
-    sizes = counted.filter("path = '' AND NOT is_text").select("host", F.col("support").alias("pages"))
-    common = counted.join(sizes, "host").filter("2 * support >= pages").drop("pages")
 
     def of_host(rows: pd.DataFrame) -> pd.DataFrame:
         slot, repeated = deduce(rows)
-        return pd.DataFrame({"host": [rows.host.iloc[0]], "slot": [slot], "repeated": [repeated]})
+        return pd.DataFrame(
+            {"host": [rows.host.iloc[0]], "slot": pd.array([slot], "Int64"), "repeated": [repeated]}
+        )
 
-    return common.groupBy("host").applyInPandas(
-        of_host, "host string, slot string, repeated array<long>"
+    # at most eight times a page's tokens a host
+    return classes(pages).groupBy("host").applyInPandas(
+        of_host, "host string, slot long, repeated array<long>"
     )
 
 
@@ -314,7 +387,7 @@ def extracted(pages: DataFrame, html: str = "html", url: str = "url", out: str =
         for texts, slots, fixed in parts:
             yield pd.Series(
                 [
-                    content(h, s, frozenset(() if f is None else f))
+                    content(h, None if pd.isna(s) else int(s), frozenset(() if f is None else map(int, f)))
                     for h, s, f in zip(texts, slots, fixed, strict=True)
                 ],
                 dtype=object,

@@ -161,6 +161,69 @@ def test_template(spark):
     assert hx.page_texts(pages.limit(0)).count() == 0
 
 
+def template_pages(rng):
+    """Two hosts: notices in articles, equal rows, shuffled passages, a part with its own template."""
+    rows = []
+    for k in range(16):
+        parts = [f"<h1>{sentence(rng, 3)}</h1>", f"<p>{sentence(rng, 20)}</p>"]
+        if k % 4:
+            parts.insert(1, "<div><p>Prices may change at any time</p></div>")
+        mixed = ["<p>first shared</p>", "<p>second shared</p>"]
+        parts += mixed[:: rng.choice((1, -1))] if k > 1 else [mixed[0], mixed[1]] if k else mixed[::-1]
+        if k < 5:
+            parts.append("<section><p>Only in the series</p></section>")
+        if k == 7:
+            parts.append("<p>Prices may change at any time</p>")
+        rows.append((k, "http://a.example/x", "<body><article>" + "".join(parts) + "</article>"))
+    rows += [(20 + k, f"http://b.example/{k}", "<article><p>one text</p></article>") for k in range(6)]
+    return rows + rows[:5]
+
+
+def test_classes_against_plain(spark):
+    rng = random.Random(21)
+    rows = template_pages(rng)
+    pages = spark.createDataFrame([(u[7:16], hash((u, h)), h) for _, u, h in rows], "host string, page long, html string")
+    found = {(r.host, r.token): r for r in hx.classes(pages).collect()}
+    seen, order = {}, {}
+    for host, page, html in {tuple(r) for r in pages.collect()}:
+        for token, _, _, depth, n, first, _ in hx._page_tokens(html):
+            seen.setdefault((host, token), {})[page] = n
+            order[host, token, page] = (first, depth, token)
+    size = {h: len({p for (g, _), v in seen.items() if g == h for p in v}) for h in ("a.example", "b.example")}
+    common = {k: v for k, v in seen.items() if 8 * len(v) >= size[k[0]]}
+    assert set(found) == set(common) and all(found[k].support == len(v) for k, v in common.items())
+    groups = {}
+    for key, vector in common.items():
+        groups.setdefault((key[0], frozenset(vector.items())), []).append(key)
+    assert len({(r.host, r.vector) for r in found.values()}) == len(groups)
+    for (host, vector), keys in groups.items():
+        orders = {tuple(sorted((t for _, t in keys), key=lambda t: order[host, t, p])) for p, _ in vector}
+        assert {found[k].valid for k in keys} == {len(orders) == 1}
+        assert len({found[k].vector for k in keys}) == 1
+
+
+def test_template_inside_articles(spark):
+    rows = template_pages(random.Random(21))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = hx.page_texts(pages).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.page_id < 20:
+            # the same words in another element are content, and so is what comes in no fixed order
+            assert ("Prices may change" in r.text) == (r.page_id == 7)
+            assert "Only in the series" not in r.text
+            assert "first shared" in r.text and "second shared" in r.text
+        else:
+            assert r.text == "one text"
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 20_000 + "<p>deep</p>"
+    assert hx.content(deep, None, set()) == "deep" and len(hx._page_tokens(deep)) == 20_003
+    text = "word " * 400_000
+    assert hx.content(f"<article><p>{text}</p></article>", None, set()) == text.strip()
+
+
 def test_pipeline(spark, odd, odd_rows, empty):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_dedup", "decontamination", "source_mix", "token_ids",
