@@ -345,6 +345,22 @@ _SELECTS: dict[str, str] = {
         UNION ALL SELECT 'ack', 'flush', 1 FROM flushes WHERE batch % 3 = 0
         UNION ALL SELECT 'publish', 'batch', n_lines FROM packed WHERE batch % 2 = 1)
       GROUP BY 1, 2""",
+    "receive": f"""
+      SELECT id, l.stream, body AS json FROM (
+        SELECT *, (row_number() OVER (PARTITION BY stream ORDER BY id_ms, id_seq) - 1)
+          // {q.PACK_BATCH} AS batch FROM lines) l
+      JOIN packed p ON p.stream = l.stream AND p.batch = l.batch
+      WHERE line IS NOT NULL AND raw_bytes <= {q.RECEIVE_BYTES}""",
+    "receive_rejected": f"""
+      SELECT stream, batch, n_lines FROM packed WHERE raw_bytes > {q.RECEIVE_BYTES}""",
+    "error_counts_jobs": f"""
+      SELECT stage, reason, CAST(sum(n) AS BIGINT) AS value FROM (
+        SELECT 'fetch' AS stage, 'object' AS reason, 1 AS n FROM parsed
+        WHERE object <> '' AND j IS NULL
+        UNION ALL SELECT 'ack', reason, 1 FROM bad
+        UNION ALL SELECT 'publish', 'batch', n_lines FROM packed
+        WHERE raw_bytes > {q.RECEIVE_BYTES})
+      GROUP BY 1, 2""",
     "ack_backlog": "SELECT count(*) AS ack_queue_depth FROM acks WHERE arrival % 5 = 0",
     "health_rollup": """
       SELECT CASE WHEN s = 0 OR n > 0 THEN 'degraded' ELSE 'ok' END AS status,

@@ -34,6 +34,7 @@ PART_MESSAGES = 16
 LANES = 4
 STREAM_FLUSH_MS = 600_000
 CAP_BYTES = 1000
+RECEIVE_BYTES = 20_000
 
 
 class Tables:
@@ -701,6 +702,32 @@ def error_counts(t: Tables) -> DataFrame:
     )
 
 
+def _received(t: Tables) -> jobs.Received:
+    sent = t.stored(en.pack_envelopes(t.lines(), PACK_BATCH), "sent")
+    return jobs.receive(t.spark.read.parquet(sent), RECEIVE_BYTES)
+
+
+@query
+def receive(t: Tables) -> DataFrame:
+    """Lines of the envelopes that the receiver's limit lets through."""
+    return _received(t).lines.select("id", "stream", "json")
+
+
+@query
+def receive_rejected(t: Tables) -> DataFrame:
+    return _received(t).rejected.select("stream", "batch", "n_lines")
+
+
+@query
+def error_counts_jobs(t: Tables) -> DataFrame:
+    """Errors as the jobs report them: faulty bodies, refused acks and envelopes."""
+    return rp.error_counts(
+        bad_objects=shape.tolerate_bad_object(t.entries).filter(~F.col("object_ok")),
+        rejected_acks=jobs.settle(t.entries, t.deliveries, t.ack_payloads).rejected,
+        failed_batches=_received(t).rejected,
+    )
+
+
 @query
 def ack_backlog(t: Tables) -> DataFrame:
     valid = t.valid_acks()

@@ -1,4 +1,4 @@
-"""The three jobs of log delivery, as compositions of operators.
+"""The jobs of log delivery, as compositions of operators.
 
 Tables are not changed in place: a job returns the next state of its tables,
 which the caller writes as a new version and reads in the next round. Delivery
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ferrylog.operators import recover as rec
 from ferrylog.operators import settle as st
-from ferrylog.operators.envelopes import pack_envelopes
+from ferrylog.operators.envelopes import dedup_received, pack_envelopes, rejected_envelopes, unpack_envelopes
 from ferrylog.operators.shape import build_payload
 from ferrylog.operators.streams import read_new
 from ferrylog.schema import (
@@ -23,6 +23,7 @@ from ferrylog.schema import (
     CLAIM_IDLE_MS,
     CONSUMER_IDLE_TIMEOUT_MS,
     DELIVERIES,
+    MAX_DECOMPRESS_BYTES,
 )
 from ferrylog.session import written
 
@@ -33,6 +34,11 @@ class Delivered(NamedTuple):
     cursors: DataFrame
 
 
+class Received(NamedTuple):
+    lines: DataFrame
+    rejected: DataFrame
+
+
 class Settled(NamedTuple):
     entries: DataFrame
     deliveries: DataFrame
@@ -73,6 +79,19 @@ def deliver(
     )
 
 
+def receive(envelopes: DataFrame, max_bytes: int = MAX_DECOMPRESS_BYTES) -> Received:
+    """Unpack what was published, without repeats, and report what can't be unpacked.
+
+    An envelope that is damaged or larger than ``max_bytes`` gives no line but one row in
+    ``rejected`` with its number of lines; nobody acknowledges these, so the entries
+    stay pending and ``recover`` builds them again.
+    """
+    return Received(
+        lines=dedup_received(unpack_envelopes(envelopes, max_bytes)),
+        rejected=rejected_envelopes(envelopes, max_bytes),
+    )
+
+
 def settle(entries: DataFrame, deliveries: DataFrame, payloads: DataFrame) -> Settled:
     """Read ack payloads and settle what they confirm."""
     valid, rejected = st.validate_ack(st.read_acks(payloads))

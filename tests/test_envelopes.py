@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrylog.operators import envelopes as en
 from ferrylog.operators import report as rp
 from ferrylog.operators.shape import build_payload, extract_fields
+from ferrylog.plans import jobs
 from ferrylog.schema import WIRE_ENTRIES
 from ferrylog.session import scratch_path
 from ferrylog.sources import tables
@@ -65,6 +66,18 @@ def test_damaged_frames_are_reported(lines):
     assert en.rejected_envelopes(packed, max_bytes=50).count() == 4
 
 
+def test_receive_reports_what_it_refuses(lines):
+    packed = en.pack_envelopes(lines, 10)
+    broken = packed.withColumn("payload", F.when(F.col("stream") == "b", F.lit(None)).otherwise(F.col("payload")))
+    got = jobs.receive(broken.unionByName(packed.filter("stream = 'a'")))
+    assert got.lines.count() == 25 and {r.stream for r in got.lines.collect()} == {"a"}
+    assert [(r.stream, r.batch, r.n_lines) for r in got.rejected.collect()] == [("b", 0, 3)]
+    assert {(r.stage, r.reason): r.value for r in rp.error_counts(failed_batches=got.rejected).collect()} == {
+        ("publish", "batch"): 3
+    }
+    assert jobs.receive(packed.limit(0)).rejected.count() == 0
+
+
 def test_received_copies(lines):
     sent = lines.filter("line IS NOT NULL").select("id", "stream", "line")
     assert en.dedup_received(sent.unionByName(sent)).count() == 28
