@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -107,6 +108,7 @@ def canonical(kind: str, raw: str) -> str:
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) from left to right, without overlaps."""
+    # without overlaps, so the neighbours by start tell whether a span is free
     found: list[tuple[int, int, str, str]] = []
     for kind, pattern in KINDS.items():
         for m in pattern.finditer(text):
@@ -117,9 +119,10 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "name":
                 gender = next(g for g in "mfn" if m[g])
                 value = f"{gender}:{value}"
-            if not any(a < end and start < b for start, end, _, _ in found):
-                found.append((a, b, kind, value))
-    return sorted(found)
+            at = bisect_left(found, (a,))
+            if (at == 0 or found[at - 1][1] <= a) and (at == len(found) or b <= found[at][0]):
+                found.insert(at, (a, b, kind, value))
+    return found
 
 
 class Draw:

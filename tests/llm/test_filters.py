@@ -318,3 +318,21 @@ def test_mix(spark, odd, odd_rows, empty):
     named = odd.withColumnRenamed("lang", "rank").withColumnRenamed("n_chars", "mix")
     assert mixing.mix_documents(named).columns == named.columns
     assert mixing.mix_table(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
+
+
+def test_entities_without_overlaps():
+    """Against a comparison of every find with all finds before it."""
+    rng = random.Random(31)
+    parts = ["Mr John Smith", "a.b@c.org", "10.1.2.3", "+44 20 79 46 09 58", "123-45-6789", "4111 1111 1111 1111", "x", "(030) 1234 5678"]
+    for _ in range(200):
+        text = rng.choice((" ", "", ", ")).join(rng.choice(parts) for _ in range(30))
+        want = []
+        for kind, pattern in surrogates.KINDS.items():
+            for m in pattern.finditer(text):
+                a, b = m.span("who") if kind == "name" else m.span()
+                if kind == "iban" and not surrogates.iban_ok(surrogates.canonical(kind, text[a:b])):
+                    continue
+                if all(b <= c or d <= a for c, d, _ in want):
+                    want.append((a, b, kind))
+        assert [e[:3] for e in surrogates.entities(text)] == sorted(want)
+    assert len(surrogates.entities("a.b@c.org " * 20_000)) == 20_000
