@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from ferrylog.catalog import queries
 from ferrylog.operators import recover as rec
 from ferrylog.operators import settle as st
 from ferrylog.operators import streams as sm
@@ -181,3 +182,14 @@ def test_now_may_be_a_column(spark):
     pending = spark.createDataFrame([("s", "1-0", "c", 5)], DELIVERY)
     info = rec.consumers_info(pending, F.lit(9).cast("bigint"))
     assert info.first().idle_ms == 4
+
+
+def test_an_idle_consumer_that_drops_the_others_stays(spark, tmp_path):
+    at = "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id AS int))"
+    events = spark.range(1, 30).selectExpr(
+        "id AS event_id", f"{at} AS ts", "id AS user_id", "'click' AS event_type", "0D AS value", "'{}' AS props"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    names = lambda query: {r.consumer for r in queries.QUERIES[query](spark, str(tmp_path)).collect()}
+    assert queries.OWN_IDLE in names("dead_consumers")
+    assert names("drop_dead_consumers_left") == {queries.OWN_IDLE, "relay-4", "relay-5"}
