@@ -170,3 +170,15 @@ def test_empty_stream_name_survives_storage(spark, tmp_path):
     found = tables.read_entries(spark, str(tmp_path / "e"))
     assert {(r.id, r.stream) for r in found.collect()} == {("1-0", ""), ("2-0", "s")}
     assert [r.id for r in tables.read_entries(spark, str(tmp_path / "e"), "").collect()] == ["1-0"]
+
+
+def test_batches_of_a_codec_are_bounded_in_bytes(spark):
+    from ferrylog.functions import zstd
+    from ferrylog.session import ARROW_BATCH_BYTES, prepare
+
+    prepare(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in (str(ARROW_BATCH_BYTES), f"{ARROW_BATCH_BYTES}b")
+    values = [b"x" * 1_000_000, None, b""] * 20
+    cut = list(zstd._cut(iter(values)))
+    assert [v for part in cut for v in part.to_pylist()] == values
+    assert max(part.nbytes for part in cut) < zstd._BATCH_BYTES + 1_100_000
