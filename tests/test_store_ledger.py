@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ferrylog.operators import envelopes as en
 from ferrylog.operators.streams import read_new
 from ferrylog.schema import CURSORS
-from ferrylog.session import scratch_path
+from ferrylog.session import scratch_path, written
 from ferrylog.sources import tables
 from ferrylog.sources.folders import complete_parts
 from ferrylog.sources.store import DAY_MS, EntryStore
@@ -104,6 +104,66 @@ def test_rounds_are_bounded_in_entries_and_go_on(spark, filled):
     assert Ledger(spark, path).deliver_rounds(entries, "c", lambda: 2, 3) == 0
 
 
+def one_by_one(spark, entries, path, size):
+    """Rounds in the plainest way: read, publish, commit, and again."""
+    book, n = Ledger(spark, path), 0
+    cursors = spark.createDataFrame([], CURSORS)
+    while True:
+        rows, cursors = read_new(entries, cursors, size)
+        if rows.isEmpty():
+            return n
+        book.publish(rows, n, "c", 2, size)
+        cursors, n = written(cursors, "cursors"), n + 1
+
+
+def stored_rounds(spark, path):
+    sent = spark.read.parquet(f"{path}/deliveries").collect()
+    envelopes = spark.read.parquet(f"{path}/envelopes").drop("payload").collect()
+    return (
+        sorted((r.part, r.stream, r.id, r.consumer, r.delivered_at_ms) for r in sent),
+        sorted((r.part, r.stream, r.batch, r.n_lines, r.n_skipped, r.raw_bytes) for r in envelopes),
+    )
+
+
+def test_rounds_made_together_are_those_made_one_by_one(spark, entries_of):
+    # repeated ids at, before and after a round's end, and ids that are no numbers
+    ids = [(s, n, k) for s, top in (("a", 7), ("b", 5)) for n in range(top) for k in range(1 + 3 * (n == 3))]
+    rows = [(ident(0, n), s, "", f"{s}{n}") for s, n, _ in ids]
+    rows += [("odd", "a", "", "x")] * 4 + [(ident(1, n), "c", "", "") for n in range(4)]
+    entries = entries_of(rows)
+    plain, path = scratch_path(spark, "plain"), scratch_path(spark, "ledger")
+    n = one_by_one(spark, entries, plain, 3)
+    made = [Ledger(spark, path).deliver_rounds(entries, "c", lambda: 2, 3, m) for m in (1, None)]
+    assert sum(made) == n and made[0] == 1
+    assert stored_rounds(spark, path) == stored_rounds(spark, plain)
+    sent = [str(k) for k in range(n)]
+    assert sorted(complete_parts(spark, f"{path}/deliveries"), key=int) == sent
+
+
+def test_jobs_do_not_grow_with_the_rounds(spark, entries_of):
+    def jobs_for(n):
+        entries = entries_of([(ident(0, k), "a", "", "x") for k in range(n)])
+        sc = spark.sparkContext
+        sc.setJobGroup(f"rounds-{n}", "rounds")
+        try:
+            assert Ledger(spark, scratch_path(spark, "ledger")).deliver_rounds(entries, "c", lambda: 1, 3) == -(-n // 3)
+            return len(sc.statusTracker().getJobIdsForGroup(f"rounds-{n}"))
+        finally:
+            sc._jsc.clearJobGroup()
+
+    # a few jobs more only list the folders of many parts
+    assert jobs_for(60) <= jobs_for(6) + 4
+
+
+def test_rounds_with_folders_of_their_own_are_read_together(spark, filled):
+    for n in range(3):
+        filled.settle(acks(spark, [("a", ident(n, 0)), ("b", "odd")]), n)
+    gone = sorted({("a", ident(n, 0)) for n in range(3)} | {("b", "odd")})
+    assert sorted({(r.stream, r.id) for r in filled.settled().collect()}) == gone
+    assert filled.settled().columns == ["stream", "id", "day"]
+    assert len(keys(filled.live())) == 62 - 4
+
+
 def test_streamed_delivery_is_pending_and_replays(spark, filled):
     source = scratch_path(spark, "source")
     tables.write_entries(filled.live(), source)
