@@ -9,11 +9,15 @@ when its edit similarity, 1 - word edits / words of the longer text, is
 an alignment and so a bound for the edits; where the bounds leave a pair open, a
 banded alignment decides. A document's class is its connected component of links.
 
-Equal texts are one node of that graph. In a bucket every text is compared with one
-pivot only, the text whose sketches are the most common, which a family of near copies has at
+Equal texts are one node of that graph. In a bucket every text is first compared with one
+pivot, the text whose sketches are the most common, which a family of near copies has at
 its centre. Texts of buckets that still hold several components are dealt again by a second family of
-sketches, with a few other pivots a bucket. So the pairs grow with the rows, however large
-a family is. Pairs whose lengths differ by more than the edits allowed are left out at once.
+sketches, with a few other pivots a bucket. That joins most of a family with few pairs. What is
+left is done in full: all texts that share a bucket of either family and are in different
+components by then meet, in parts of a bounded size, so no link between candidates is lost.
+Counts of hashed words bound the edits from below and leave out what can't be a link, as
+do lengths; all other pairs are verified. Only texts that are unlike, yet so alike in
+words that the bound leaves them open, make pairs that grow with the square of a bucket.
 
 Two k-mers a sketch are the fewest that have an order. With one word in five edited, the most
 that a link allows, one sketch in 26 agrees, so 56 of them miss one pair in nine; at 15 % one
@@ -51,6 +55,13 @@ KEPT_AGAIN = 3
 SKETCHES_AGAIN = 16
 #: Times that a bucket of the second family draws four pivots.
 DRAWS = 3
+#: Texts of a part of a bucket, of which two meet at once.
+PART = 1024
+#: Numbers that a text's words are hashed to and counted under, and how many of them the first
+#: bound takes together; pairs bounded at once.
+BINS = 1024
+FOLD = 4
+AT_ONCE = 20_000
 
 WORD = re.compile(r"\w+")
 _U64 = np.uint64
@@ -78,11 +89,27 @@ class WordHashes(dict):
         return value
 
 
+def hashed(found: list[str], hashes: WordHashes) -> np.ndarray:
+    return np.fromiter(map(hashes.__getitem__, found), _U64, len(found))
+
+
+def bag(w: np.ndarray) -> bytes:
+    """How many of the word hashes fall to each of ``BINS`` numbers, 255 at most.
+
+    An edit changes two counts by one, or one; the limit makes differences smaller, never larger.
+    """
+    counts = np.bincount((w % _U64(BINS)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def labelled(found: list[str], hashes: WordHashes) -> np.ndarray:
     """Hashes of the k-mers in text order, each with its occurrence number."""
-    if not found:
+    return kmer_hashes(hashed(found, hashes))
+
+
+def kmer_hashes(w: np.ndarray) -> np.ndarray:
+    if not len(w):
         return np.zeros(0, _U64)
-    w = np.fromiter(map(hashes.__getitem__, found), _U64, len(found))
     k = min(SHINGLE, len(w))
     h = np.zeros(len(w) - k + 1, _U64)
     for i in range(k):
@@ -209,26 +236,30 @@ def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(dk, n, keys, again) of every text with words."""
+    """(dk, n, keys, again, bag) of every text with words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            dk, n, keys, again = [], [], [], []
+            dk, n, keys, again, bags = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = labelled(words(text), hashes)
+                w = hashed(words(text), hashes)
+                h = kmer_hashes(w)
                 if len(h):
                     dk.append(key)
                     n.append(len(h))
                     keys.append(sketches(h, _SEEDS[:SKETCHES], KEPT).view(np.int64))
                     again.append(sketches(h, _SEEDS[SKETCHES:], KEPT_AGAIN).view(np.int64))
+                    bags.append(bag(w))
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (keys, again)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(dk, pa.binary()), pa.array(n, pa.int64()), *lists],
-                names=["dk", "n", "keys", "again"],
+                [pa.array(dk, pa.binary()), pa.array(n, pa.int64()), *lists, pa.array(bags, pa.binary())],
+                names=["dk", "n", "keys", "again", "bag"],
             )
 
-    return docs.mapInArrow(sketch, "dk binary, n long, keys array<long>, again array<long>")
+    return docs.mapInArrow(
+        sketch, "dk binary, n long, keys array<long>, again array<long>, bag binary"
+    )
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -258,8 +289,10 @@ def _may_be_similar(n: str, m: str) -> str:
     return f"({n} = 1 OR {m} = 1 OR {few} * abs({n} - {m}) <= greatest({n}, {m}) + {SHINGLE - 1})"
 
 
-def _dealt_again(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) for the nodes of buckets that hold several components.
+def _dealt_again(
+    buckets: DataFrame, nodes: DataFrame, roots: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) for the nodes of buckets that hold several components, and the new buckets.
 
     Such nodes are dealt by the second family of sketches alone, so each makes as many
     rows as that family has sketches, however many mixed buckets it is in. Every new
@@ -285,7 +318,115 @@ def _dealt_again(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> Data
     near = f"p.comp != comp AND {_may_be_similar('p.n', 'n')}"
     others = F.expr(f"array_distinct(transform(filter(pivots, p -> {near}), p -> p.node))")
     pairs = rows.select("node", F.explode(others).alias("pivot"))
-    return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    return pairs.distinct(), dealt.select("key", "node")
+
+
+def open_pairs(
+    group: np.ndarray,
+    two: np.ndarray,
+    part: np.ndarray,
+    comp: np.ndarray,
+    n: np.ndarray,
+    bags: np.ndarray,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of rows of one group that may be a link, as arrays of bounded length.
+
+    ``group`` ascends. Where ``two`` parts of a bucket meet, only rows of different parts are
+    paired, as each part meets itself elsewhere. Rows of one component, and those too far
+    apart by length or counts, are left out.
+    """
+    place = np.arange(len(group))
+    total = bags.sum(axis=1, dtype=np.int64)
+    folded = bags.reshape(len(bags), FOLD, -1).sum(axis=1, dtype=np.uint16)
+    counts = np.searchsorted(group, group, side="right") - place - 1
+    upto = np.cumsum(counts)
+    begin = 0
+    while begin < len(group):
+        before = upto[begin] - counts[begin]
+        stop = max(begin + 1, int(np.searchsorted(upto, before + AT_ONCE, side="right")))
+        some = counts[begin:stop]
+        i = np.repeat(place[begin:stop], some)
+        j = i + 1 + np.arange(len(i)) - np.repeat(upto[begin:stop] - some - before, some)
+        begin = stop
+        keep = (comp[i] != comp[j]) & (~two[i] | (part[i] != part[j]))
+        i, j = i[keep], j[keep]
+        # a text of n k-mers has n + SHINGLE - 1 words, or fewer if n is 1
+        band = ((1 - SIMILARITY) * (np.maximum(n[i], n[j]) + SHINGLE - 1) + 1e-9).astype(np.int64)
+        keep = np.abs(total[i] - total[j]) <= band
+        for counted in (folded, bags):
+            i, j, band = i[keep], j[keep], band[keep]
+            common = np.minimum(counted[i], counted[j]).sum(axis=1, dtype=np.int64)
+            keep = np.maximum(total[i], total[j]) - common <= band
+        if keep.any():
+            yield i[keep], j[keep]
+
+
+def _rest(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs (a, b) of a bucket that lie in different components and may be links.
+
+    Buckets are split into parts of about ``PART`` texts, and every two parts meet in a group.
+    Of the buckets that two texts share, the one of the first sketch gives the pair.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def settled(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, part, node, comp, n, bags, keys = rows
+            begins = np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))
+            two = key[:, 1] != key[:, 2]
+            for i, j in open_pairs(np.cumsum(begins), two, part, comp, n, bags):
+                first = (keys[i] == keys[j]).argmax(axis=1)
+                here = keys[i, first] == key[i, 0]
+                i, j = i[here], j[here]
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, i, j, part, node, comp, n = (batch.column(c).to_numpy() for c in range(7))
+            raw = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8)
+            keys = batch.column(8).flatten().to_numpy().reshape(-1, SKETCHES + SKETCHES_AGAIN)
+            rows = [np.stack((key, i, j), axis=1), part, node, comp, n, raw.reshape(-1, BINS), keys]
+            if held:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            # the last group may go on in the next batch
+            other = np.flatnonzero((rows[0] != rows[0][-1]).any(axis=1))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield from settled([x[:cut] for x in rows])
+            held = [x[cut:] for x in rows]
+        if held:
+            yield from settled(held)
+
+    comp = F.coalesce("root", "node").alias("comp")
+    members = buckets.join(roots, "node", "left").select("key", "node", comp)
+    sizes = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), (F.min("comp") < F.max("comp")).alias("several")
+    )
+    # two texts alone have met as a text and its pivot
+    open_ = sizes.filter("several AND size > 2")
+    parts = open_.select("key", F.ceil(F.col("size") / PART).alias("parts"))
+    own = F.pmod(F.xxhash64("key", "node"), F.col("parts")).alias("part")
+    rows = members.join(parts, "key").select("key", "node", "comp", "parts", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    wide = nodes.select("node", "n", "bag", F.concat("keys", "again").alias("keys"))
+    rows = rows.join(wide, "node").select(
+        "key",
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        "part",
+        "node",
+        "comp",
+        "n",
+        "bag",
+        "keys",
+    )
+    group = ["key", "i", "j"]
+    met = rows.repartition(*group).sortWithinPartitions(*group)
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -313,9 +454,15 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = written(docs.dropDuplicates(["dk"]).join(named, "dk").select("node", "text"), "texts")
     links = written(_verified(star, texts), "links")
     roots = components(links)
-    more = _dealt_again(buckets.select("key", "node"), nodes, roots)
+    more, dealt = _dealt_again(buckets.select("key", "node"), nodes, roots)
     more = written(more.join(star, ["a", "b"], "left_anti"), "pairs")
     found = written(_verified(more, texts), "links")
+    if not found.isEmpty():
+        links = links.union(found)
+        roots = components(links)
+    rest = _rest(buckets.select("key", "node").union(dealt), nodes, roots)
+    rest = written(rest.join(star.union(more), ["a", "b"], "left_anti"), "pairs")
+    found = written(_verified(rest, texts), "links")
     if not found.isEmpty():
         roots = components(links.union(found))
     return nodes.join(roots, "node", "left").select("dk", F.coalesce("root", "node").alias("grp"))

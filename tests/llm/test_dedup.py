@@ -86,6 +86,44 @@ def test_near_classes(spark, odd_rows, empty):
     assert nd.dedup_table(empty).count() == 0 and nd.dedup_documents(empty).count() == 0
 
 
+def test_pairs_that_miss_the_pivots(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = sentence(rng, 300).split(" ")
+    rows = []
+    for k in range(80):
+        own = [f"own{rng.randrange(10**9)}" for _ in range(150)]
+        near = list(own)
+        for at in rng.sample(range(150), 75):
+            near[at] = f"near{rng.randrange(10**9)}"
+        for j, part in enumerate((own, near)):
+            rows.append((2 * k + j, " ".join(passage + part), "en", "a", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for part, at_once in ((nd.PART, nd.AT_ONCE), (32, 10)):
+        monkeypatch.setattr(nd, "PART", part)
+        monkeypatch.setattr(nd, "AT_ONCE", at_once)
+        found = {r.doc_id: r.class_id for r in nd.dedup_table(docs).collect()}
+        assert found == {k: k - k % 2 for k in range(160)}
+
+
+def test_counts_bound_edits():
+    rng, hashes = random.Random(12), nd.WordHashes()
+    for signs, most in ((3, 600), (400, 60)):
+        texts = [[str(rng.randrange(signs)) for _ in range(rng.randint(1, most))] for _ in range(30)]
+        for t in list(texts):
+            near = list(t)
+            for _ in range(rng.randint(0, len(t) // 4)):
+                at = rng.randrange(len(near) + 1)
+                near[at : at + rng.randrange(2)] = [str(rng.randrange(signs))] * rng.randrange(2)
+            texts.append(near)
+        raw = [nd.bag(nd.hashed(t, hashes)) for t in texts]
+        bags = nd.np.frombuffer(b"".join(raw), nd.np.uint8).reshape(-1, nd.BINS)
+        one, every = nd.np.zeros(len(texts), int), nd.np.arange(len(texts))
+        n = nd.np.array([max(len(t) - nd.SHINGLE + 1, 1) for t in texts])
+        found = {(i, j) for a, b in nd.open_pairs(one, one > 0, one, every, n, bags) for i, j in zip(a, b, strict=True)}
+        links = {(i, j) for j in range(len(texts)) for i in range(j) if nd.similar(texts[i], texts[j])}
+        assert links <= found and len(links) >= 10
+
+
 def plain_removal(texts):
     raws = [(t or "").encode() for t in texts]
     seen = Counter(r[k : k + 200] for r in raws for k in range(len(r) - 199))
