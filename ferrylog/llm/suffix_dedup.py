@@ -18,8 +18,9 @@ A candidate stands for a run of neighbouring strings. If the stretch of text tha
 the run covers also occurs elsewhere as a whole, all its strings do. Otherwise the
 strings are compared one by one with those of the other candidates of the gram:
 groups of up to ``SMALL`` in memory, larger ones by counting digests of blocks of
-strings and then of strings, so that no group has to fit anywhere. Digests and text keys
-are 128 bits.
+strings. The blocks left are short, so groups of up to ``SMALL_BLOCKS`` of them are compared
+in memory too; larger ones by counting digests of strings, so that no group has to fit
+anywhere. Digests and text keys are 128 bits.
 
 Matches never cross texts. Null texts count as empty; texts under ``LENGTH``
 bytes lose nothing; equal texts lose everything from ``LENGTH`` bytes on, and are
@@ -47,6 +48,8 @@ GRAM = 32
 SMALL = 64
 #: Neighbouring strings that large groups compare at once.
 BLOCK = 16
+#: Blocks of a group that are compared in memory, at most BLOCK strings each.
+SMALL_BLOCKS = 8192
 #: The third batch finds two levels of equal size, which merge.
 BATCHES = 3
 
@@ -329,8 +332,8 @@ def _large_groups(rows: DataFrame) -> DataFrame:
     left = written(left.select("h", "z", "dk", "pos", "first", "size", "stretch"), "stretches")
     return (
         whole.select("dk", "pos", "first", "last")
-        .union(_small_groups(left.filter(F.col("size") <= SMALL)))
-        .union(_counted_strings(left.filter(F.col("size") > SMALL)))
+        .union(_small_groups(left.filter(F.col("size") <= SMALL_BLOCKS)))
+        .union(_counted_strings(left.filter(F.col("size") > SMALL_BLOCKS)))
     )
 
 

@@ -157,6 +157,24 @@ def test_removal(spark, monkeypatch, empty):
     assert sd.removal_table(empty).count() == 0
 
 
+def test_blocks_of_a_large_group_stay_in_memory(spark, monkeypatch):
+    rng, texts = random.Random(13), []
+    passage = sentence(rng, 80)
+    for k in range(60):
+        near = list(passage[:320])
+        near[rng.randrange(320)] = "#"
+        texts.append(f"{k} {''.join(near)} {k}")
+    docs = spark.createDataFrame([(k, t, "", "", 0) for k, t in enumerate(texts)], SCHEMA)
+    want, counted, rows = plain_removal(texts), sd._counted_strings, []
+    monkeypatch.setattr(sd, "_counted_strings", lambda x: rows.append(x.count()) or counted(x))
+    monkeypatch.setattr(sd, "SMALL", 4)
+    for limit in (getattr(sd, "SMALL_BLOCKS", 4), 2):
+        monkeypatch.setattr(sd, "SMALL_BLOCKS", limit, raising=False)
+        found = sd.removal_table(docs).orderBy("doc_id").collect()
+        assert [tuple(r)[1:] for r in found] == want
+    assert rows[0] == 0 < rows[1]
+
+
 def test_levels_merge_geometrically(spark):
     index = sd.SuffixIndex()
     for k in range(6):
