@@ -40,6 +40,8 @@ HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK_IDS = 65_536
 #: Ids after which a shard ends with the document.
 SHARD_IDS = 4_000_000
+#: Bytes of text that are encoded together; a longer Arrow batch stays as it is.
+TOGETHER = 2_000_000
 END_ID = 0
 
 SHARDS = "part int, seq int, shard binary"
@@ -115,6 +117,20 @@ class Shard:
         return self.read(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+def joined(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to ``limit`` bytes; a larger one stands alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_shards(
     docs: DataFrame, folder: str, tokenizer: str, shard_ids: int = SHARD_IDS
 ) -> None:
@@ -138,8 +154,8 @@ def write_shards(
             )
 
         n = 0
-        for batch in batches:
-            found = enc.ids(batch.column(1).to_pylist())
+        for batch in joined(batches, TOGETHER):
+            found = enc.ids(batch.column(1))
             for key, each in zip(batch.column(0).to_pylist(), found, strict=True):
                 keys.append(key)
                 ids.append(np.concatenate((each, end)))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -56,6 +57,44 @@ def test_encoders_equal_the_libraries():
         assert [tc.count_chunked(PIECES, t, chunk, overlap) for t in texts[:400]] == counts[:400]
 
 
+def test_parts_of_words_are_asked_for_once(monkeypatch):
+    enc, asked = ByteBpe(BYTE_BPE), []
+
+    def library(texts, ask=enc.library):
+        asked.extend(texts)
+        return ask(texts)
+
+    for owner in [enc, *vars(enc).values()]:
+        if hasattr(owner, "library"):
+            monkeypatch.setattr(owner, "library", library)
+    lib = Tokenizer.from_file(BYTE_BPE)
+    for text in ("a zorbleth mirn", "a zorbleth, mirn### mirn.\nzorbleth zorbleth?!\nMirn; mirn)"):
+        assert enc.ids([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert sum(x.count(" zorbleth") for x in asked) == 1
+    assert sum(x.count(" mirn") for x in asked) == 1
+
+
+@pytest.mark.parametrize("memory", [3, 1000])
+def test_words_from_parts_equal_the_library(memory, monkeypatch):
+    monkeypatch.setattr("ferrylog.llm.encode.MEMORY_IDS", memory)
+    enc, lib, rng = ByteBpe(BYTE_BPE), Tokenizer.from_file(BYTE_BPE), random.Random(6)
+    parts = ["It", "'s", "'", "don't", "été", "Ж", "Ω", "漢", "ª", "²", "\u02bc", "***", ".", "_", "7"]
+    parts += [" "] * 12 + ["\n"] * 3 + ["\n\n", " \n", "\t", "\xa0", "\x1c", "\u2003", "▁", "x" * 120]
+    parts += ["<|endoftext|>", "<|", "|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    found = [x.tolist() for k in range(0, 3000, 100) for x in enc.ids(texts[k : k + 100])]
+    assert found == want
+    assert enc.ids([]) == []
+
+
+def test_batches_are_joined_up_to_a_limit():
+    batches = [pa.RecordBatch.from_pydict({"t": ["x" * n]}) for n in (10, 10, 500, 10, 10, 10)]
+    found = [b.column(0).to_pylist() for b in tb.joined(iter(batches), 2 * batches[0].nbytes)]
+    assert [[len(t) for t in b] for b in found] == [[10, 10], [500], [10, 10], [10]]
+    assert list(tb.joined(iter([]), 9)) == []
+
+
 def expected(rows):
     lib = Tokenizer.from_file(BYTE_BPE)
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
